@@ -9,11 +9,11 @@ from millrace.functions import numeric, weblog
 from millrace.operators import joins, ranking, sampling, sketches
 from millrace.plans.ordering import carry_forward, row_index
 from millrace.plans.skew import salted_totals
+from millrace.functions.numeric import row_count
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
 
-N = F.count(F.lit(1)).alias("n")
 
 
 @query("join1_inner_equi", """SELECT n_name, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM customer
@@ -104,12 +104,12 @@ def join10(spark, folder):
 
 @query("agg1_count_rows", "SELECT count(*) AS n FROM lineitem")
 def agg1(spark, folder):
-    return table(spark, folder, "lineitem").agg(N)
+    return table(spark, folder, "lineitem").agg(row_count())
 
 
 @query("agg2_word_count", f"WITH {ctes.WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
 def agg2(spark, folder):
-    return views.words(spark, folder).groupBy("word").agg(N)
+    return views.words(spark, folder).groupBy("word").agg(row_count())
 
 
 @query("agg3_word_count_sql", f"WITH {ctes.WORDS} SELECT word, count(*) AS total FROM words GROUP BY word")
@@ -136,14 +136,14 @@ def log_rollup(lines):
     """Hits and bytes per (ip, user, request); unknown users and broken lines share a null key."""
     entry = lines.select(weblog.access_log(F.col("line")).alias("e"))
     hits = entry.select(*weblog.visit_key(F.col("e")), weblog.visit_bytes(F.col("e")))
-    return hits.groupBy("ip", "user", "request").agg(N, F.sum("bytes").alias("bytes"))
+    return hits.groupBy("ip", "user", "request").agg(row_count(), F.sum("bytes").alias("bytes"))
 
 
 @query("agg6_group_arithmetic", f"""WITH {ctes.PAGEVIEWS} SELECT zip, count(*) AS n,
   round(count(*) FILTER (status <> 200) / count(*), 5) AS error_rate FROM pageviews GROUP BY zip""")
 def agg6(spark, folder):
     return views.page_views(spark, folder).groupBy("zip").agg(
-        N, F.round(F.count_if(F.col("status") != 200) / F.count(F.lit(1)), 5).alias("error_rate"))
+        row_count(), F.round(F.count_if(F.col("status") != 200) / F.count(F.lit(1)), 5).alias("error_rate"))
 
 
 @query("agg7_count_distinct_keys", "SELECT count(DISTINCT l_partkey) AS keys FROM lineitem")
@@ -161,14 +161,14 @@ def agg8(spark, folder):
 
 @query("agg9_count_by_value", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def agg9(spark, folder):
-    return table(spark, folder, "events").groupBy("event_type").agg(N)
+    return table(spark, folder, "events").groupBy("event_type").agg(row_count())
 
 
 @query("agg10_class_shares", """SELECT l_returnflag, count(*) AS n, round(count(*) / (SELECT count(*) FROM lineitem), 6) AS share
   FROM lineitem GROUP BY 1""")
 def agg10(spark, folder):
     l = table(spark, folder, "lineitem")
-    counts = l.groupBy("l_returnflag").agg(N)
+    counts = l.groupBy("l_returnflag").agg(row_count())
     return counts.withColumn("share", F.round(F.col("n") / l.agg(F.count(F.lit(1))).scalar(), 6))
 
 
@@ -204,7 +204,7 @@ def agg14(spark, folder):
   FROM (SELECT label, embedding, unnest(range(1, 65)) AS i FROM embeddings) GROUP BY 1, 2""")
 def agg15(spark, folder):
     e = table(spark, folder, "embeddings")
-    sums = e.groupBy("label").agg(N, F.array(*[F.sum(F.col("embedding")[i].cast("double")) for i in range(64)]).alias("s"))
+    sums = e.groupBy("label").agg(row_count(), F.array(*[F.sum(F.col("embedding")[i].cast("double")) for i in range(64)]).alias("s"))
     return sums.select("label", "n", F.posexplode("s").alias("p", "t")).select(
         "label", F.col("p").cast("bigint").alias("pos"), F.round("t", 4).alias("total"), "n")
 
@@ -284,7 +284,7 @@ def srt7(spark, folder):
 def smp1(spark, folder):
     parts = sampling.random_split(table(spark, folder, "orders"), [0.6, 0.4], 11)
     return parts[0].select(F.lit("train").alias("part")).unionByName(parts[1].select(F.lit("test").alias("part"))) \
-        .groupBy("part").agg(N)
+        .groupBy("part").agg(row_count())
 
 
 @query("smp2_sample")
@@ -307,7 +307,7 @@ def smp3(spark, folder):
 def smp4(spark, folder):
     kept = sampling.sample_by_key(table(spark, folder, "lineitem").select("l_returnflag"), "l_returnflag",
                                   {"A": 0.1, "N": 0.2, "R": 0.3}, 3)
-    return kept.groupBy("l_returnflag").agg(N)
+    return kept.groupBy("l_returnflag").agg(row_count())
 
 
 @query("smp5_sample_by_key_exact", """WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
@@ -315,7 +315,7 @@ def smp4(spark, folder):
   round(n / (SELECT sum(n) FROM c), 6) AS original FROM c""")
 def smp5(spark, folder):
     e = table(spark, folder, "events").select("event_id", "event_type")
-    kept = sampling.sample_by_key_exact(e, "event_type", 0.1, ["event_id"]).groupBy("event_type").agg(N)
+    kept = sampling.sample_by_key_exact(e, "event_type", 0.1, ["event_id"]).groupBy("event_type").agg(row_count())
     whole = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("m"))
     shares = kept.select("event_type", "n", F.round(F.col("n") / kept.agg(F.sum("n")).scalar(), 6).alias("share"))
     total = e.agg(F.count(F.lit(1))).scalar()
@@ -329,14 +329,14 @@ def smp6(spark, folder):
     e = table(spark, folder, "embeddings").select("vec_id", "label")
     train, test = sampling.positional_split(e, ["vec_id"], 0.7)
     return train.select(F.lit("train").alias("part"), "label").unionByName(
-        test.select(F.lit("test").alias("part"), "label")).groupBy("part", "label").agg(N)
+        test.select(F.lit("test").alias("part"), "label")).groupBy("part", "label").agg(row_count())
 
 
 @query("gen1_normal_table")
 def gen1(spark, folder):
     """Normal draws for each order, and their moments per status."""
     drawn = sampling.normal_columns(table(spark, folder, "orders").select("o_orderstatus"), ["x", "y"], 17)
-    return drawn.groupBy("o_orderstatus").agg(N, F.avg("x").alias("mean_x"), F.stddev("x").alias("std_x"),
+    return drawn.groupBy("o_orderstatus").agg(row_count(), F.avg("x").alias("mean_x"), F.stddev("x").alias("std_x"),
                                               F.corr("x", "y").alias("corr_xy"))
 
 
@@ -346,4 +346,4 @@ def gen2(spark, folder):
     c = table(spark, folder, "customer")
     edges = sampling.lognormal_edges(c, "c_custkey", c.agg(F.count(F.lit(1))).scalar(), mu=2.0, sigma=1.0, seed=9)
     return (edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-            .groupBy("degree").agg(N))
+            .groupBy("degree").agg(row_count()))

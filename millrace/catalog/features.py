@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from millrace.catalog import ctes
 from millrace.functions.vectors import spread
 from millrace.operators import features, linear
+from millrace.functions.numeric import row_count
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
 
-N = F.count(F.lit(1)).alias("n")
 XYZ = ("x", "y", "z")
 PARTS = "parts AS (SELECT p_partkey, p_size / 49 AS x, p_retailprice / 1999 AS y, (p_partkey % 7) / 6.9::DOUBLE - 0.5::DOUBLE AS z FROM part)"
 
@@ -45,7 +45,7 @@ def fea1(spark, folder):
 @query("fea2_regex_tokenizer", f"WITH {_GAPS} SELECT w AS word, count(*) AS n FROM (SELECT unnest(t) AS w FROM tok) GROUP BY w")
 def fea2(spark, folder):
     out = ft.RegexTokenizer(inputCol="text", outputCol="t", pattern=r"\W").transform(_docs(spark, folder))
-    return out.select(F.explode("t").alias("word")).groupBy("word").agg(N)
+    return out.select(F.explode("t").alias("word")).groupBy("word").agg(row_count())
 
 
 STOP = ["the", "of", "and", "is", "de", "la"]
@@ -83,7 +83,7 @@ def fea6(spark, folder):
     model = Pipeline(stages=[ft.CountVectorizer(inputCol="items", outputCol="tf"),
                              ft.IDF(inputCol="tf", outputCol="w")]).fit(b)
     rows = features.term_rows(model.transform(b), "w", model.stages[0].vocabulary)
-    return rows.groupBy("term").agg(N, F.round(F.max("weight"), 6).alias("idf"), F.round(F.sum("weight"), 2).alias("total"))
+    return rows.groupBy("term").agg(row_count(), F.round(F.max("weight"), 6).alias("idf"), F.round(F.sum("weight"), 2).alias("total"))
 
 
 @query("fea7_count_vectorizer", f"""WITH {_TOKENS}, w AS (SELECT doc_id, unnest(t) AS term FROM tok)
@@ -100,7 +100,7 @@ def fea7(spark, folder):
 def fea7_learned(spark, folder):
     b = views.baskets(spark, folder)
     model = ft.CountVectorizer(inputCol="items", outputCol="f", vocabSize=1000, minDF=2).fit(b)
-    return features.term_rows(model.transform(b), "f", model.vocabulary).groupBy("term").agg(N)
+    return features.term_rows(model.transform(b), "f", model.vocabulary).groupBy("term").agg(row_count())
 
 
 @query("fea8_word2vec")
@@ -261,7 +261,7 @@ def fea25_select(spark, folder):
     chooser = ft.UnivariateFeatureSelector(featuresCol="features", labelCol="lab", outputCol="s", selectionMode="numTopFeatures")
     chooser.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(1)
     chosen = chooser.fit(points)
-    return spread(chosen.transform(points), "s", ["kept"], "lab").groupBy("lab", "kept").agg(N)
+    return spread(chosen.transform(points), "s", ["kept"], "lab").groupBy("lab", "kept").agg(row_count())
 
 
 @query("fea26_r_formula", """WITH ix AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS i FROM documents JOIN labels USING (doc_id) GROUP BY lang)
@@ -280,7 +280,7 @@ def fea26(spark, folder):
   count(*) AS n FROM lineitem, b GROUP BY ALL""")
 def fea28(spark, folder):
     out = features.minmax_levels(table(spark, folder, "lineitem"), ["l_quantity", "l_extendedprice"])
-    return out.groupBy("l_returnflag", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p")).agg(N)
+    return out.groupBy("l_returnflag", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p")).agg(row_count())
 
 
 @query("fea29_minmax_unit", f"""WITH {PARTS}, b AS (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM parts)
@@ -293,7 +293,7 @@ def fea29(spark, folder):
 @query("fea30_to_libsvm", """SELECT l_linenumber || ' 1:' || CAST(l_quantity AS BIGINT) || ' 2:' || l_suppkey AS value, count(*) AS n FROM lineitem GROUP BY 1""")
 def fea30(spark, folder):
     l = table(spark, folder, "lineitem").withColumn("q", F.col("l_quantity").cast("bigint"))
-    return features.to_libsvm(l, "l_linenumber", ["q", "l_suppkey"]).groupBy("value").agg(N)
+    return features.to_libsvm(l, "l_linenumber", ["q", "l_suppkey"]).groupBy("value").agg(row_count())
 
 
 @query("fea31_append_bias", f"WITH {PARTS} SELECT p_partkey, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z, 1.0::DOUBLE AS bias FROM parts")
@@ -304,7 +304,7 @@ def fea31(spark, folder):
 @query("fea32_reindex_labels", """SELECT p_size, dense_rank() OVER (ORDER BY p_size) - 1 AS label_index, count(*) AS n FROM part GROUP BY p_size""")
 def fea32(spark, folder):
     out = features.reindex_labels(table(spark, folder, "part").select("p_size"), "p_size")
-    return out.groupBy("p_size", "label_index").agg(N)
+    return out.groupBy("p_size", "label_index").agg(row_count())
 
 
 @query("fea33_text_corpus", f"""WITH {_GAPS} SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row, doc_id,

@@ -20,11 +20,11 @@ from millrace.operators import models, neighbours, patterns, sampling
 from millrace.operators.custom import UntrainedClassifier
 from millrace.operators.features import assemble, text_corpus
 from millrace.operators.joins import band_pairs
+from millrace.functions.numeric import row_count
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
 
-N = F.count(F.lit(1)).alias("n")
 X = ["x0", "x1", "x2", "x3"]
 
 
@@ -234,7 +234,7 @@ def reg6(spark, folder):
         (F.col("l_discount") * 10).alias("a"), (F.col("l_tax") * 10).alias("b")), ["a", "b"])
     model = rg.AFTSurvivalRegression(quantileProbabilities=[0.3, 0.6], quantilesCol="q", maxIter=10).fit(l)
     q = vector_to_array("q")
-    return model.transform(l).groupBy("censor").agg(N, F.avg("prediction").alias("mean_prediction"), F.avg(q[0]).alias("q30"), F.avg(q[1]).alias("q60"))
+    return model.transform(l).groupBy("censor").agg(row_count(), F.avg("prediction").alias("mean_prediction"), F.avg(q[0]).alias("q30"), F.avg(q[1]).alias("q60"))
 
 
 @query("rec1_als_explicit")
@@ -295,21 +295,21 @@ def clu1(spark, folder):
 def clu2(spark, folder):
     p = _points(spark, folder)
     model = cu.KMeans(k=10, initMode="k-means||", maxIter=10, seed=1).fit(p)
-    return model.transform(p).groupBy("prediction").agg(N).withColumn("cost", F.lit(model.summary.trainingCost))
+    return model.transform(p).groupBy("prediction").agg(row_count()).withColumn("cost", F.lit(model.summary.trainingCost))
 
 
 @query("clu3_bisecting_kmeans")
 def clu3(spark, folder):
     p = _points(spark, folder)
     model = cu.BisectingKMeans(k=6, maxIter=5, seed=1).fit(p)
-    return model.transform(p).groupBy("prediction").agg(N)
+    return model.transform(p).groupBy("prediction").agg(row_count())
 
 
 @query("clu4_gaussian_mixture")
 def clu4(spark, folder):
     l = assemble(views.labelled_lines(spark, folder), X)
     model = cu.GaussianMixture(k=3, maxIter=5, seed=1).fit(l)
-    return model.transform(l).groupBy("prediction").agg(N, F.avg(F.array_max(vector_to_array("probability"))).alias("sureness"))
+    return model.transform(l).groupBy("prediction").agg(row_count(), F.avg(F.array_max(vector_to_array("probability"))).alias("sureness"))
 
 
 @query("clu5_power_iteration")
@@ -320,7 +320,7 @@ def clu5(spark, folder):
     s = numeric.gaussian_similarity(F.col("value0"), F.col("u0"), F.col("value1"), F.col("u1"))
     graph = pairs.select(F.col("event_id0").alias("src"), F.col("event_id1").alias("dst"), (s + F.lit(1e-9)).alias("weight"))
     made = cu.PowerIterationClustering(k=2, maxIter=15, initMode="degree", weightCol="weight").assignClusters(graph)
-    return made.groupBy("cluster").agg(N)
+    return made.groupBy("cluster").agg(row_count())
 
 
 def _corpus(spark, folder):
@@ -340,7 +340,7 @@ def clu6_em(spark, folder):
     corpus, _ = _corpus(spark, folder)
     model = cu.LDA(k=5, maxIter=3, optimizer="em", seed=1).fit(corpus)
     best = F.array_position(vector_to_array("topicDistribution"), F.array_max(vector_to_array("topicDistribution"))) - 1
-    return model.transform(corpus).groupBy(best.alias("topic")).agg(N).withColumn("log_likelihood", F.lit(model.logLikelihood(corpus))).withColumn(
+    return model.transform(corpus).groupBy(best.alias("topic")).agg(row_count()).withColumn("log_likelihood", F.lit(model.logLikelihood(corpus))).withColumn(
         "log_perplexity", F.lit(model.logPerplexity(corpus)))
 
 
@@ -421,7 +421,7 @@ def tun4(spark, folder):
     given = {lr.maxIter: 20, lr.regParam: 0.1, lr.threshold: 0.55, lr.probabilityCol: "chance"}
     first, second = lr.fit(p), lr.fit(p, given)
     out = first.transform(p).withColumnRenamed("prediction", "first").drop("rawPrediction", "probability")
-    return second.transform(out).groupBy("first", F.col("prediction").alias("second")).agg(N, F.avg(vector_to_array("chance")[1]).alias("chance"))
+    return second.transform(out).groupBy("first", F.col("prediction").alias("second")).agg(row_count(), F.avg(vector_to_array("chance")[1]).alias("chance"))
 
 
 @query("udf4_custom_estimator", "SELECT label, 0.0::DOUBLE AS prediction, 0.0::DOUBLE AS raw, count(*) AS n FROM embeddings GROUP BY label")
@@ -429,4 +429,4 @@ def udf4(spark, folder):
     p = _points(spark, folder).withColumn("label", F.col("label").cast("int"))
     out = UntrainedClassifier(maxIter=5).fit(p).transform(p)
     raw = F.abs(vector_to_array("rawPrediction")[1])
-    return out.groupBy("label", "prediction", raw.alias("raw")).agg(N)
+    return out.groupBy("label", "prediction", raw.alias("raw")).agg(row_count())

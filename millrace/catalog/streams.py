@@ -9,26 +9,31 @@ from millrace.functions.text import words_of
 from millrace.operators import models
 from millrace.operators.relational import grep
 from millrace.plans.sizing import broadcast_if_small
+from millrace.functions.numeric import row_count
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
 from millrace.streaming import feed, learning, stateful
 
-N = F.count(F.lit(1)).alias("n")
 SHOWN = "yyyy-MM-dd HH:mm:ss"
-# Ten-day slices of January in order of time.
-_SLICE = F.least(F.lit(2), F.floor((F.dayofyear("ts") - 1) / 10)).cast("int")
+
+
+def _decade():
+    """Ten-day slices of January in order of time."""
+    return F.least(F.lit(2), F.floor((F.dayofyear("ts") - 1) / 10)).cast("int")
+
+
 EVENTS = f"""ev AS (SELECT *, least(2, CAST(floor((dayofyear(ts) - 1) / 10) AS INT)) AS slice FROM events)"""
 
 
 def _events(spark, folder):
     """Events with a time Spark accepts as event time, and their slice."""
-    e = table(spark, folder, "events").withColumn("slice", _SLICE)
+    e = table(spark, folder, "events").withColumn("slice", _decade())
     return e.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _views(spark, folder):
-    v = views.page_views(spark, folder).withColumn("slice", _SLICE)
+    v = views.page_views(spark, folder).withColumn("slice", _decade())
     return v.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -53,18 +58,18 @@ _START = "strftime(st, '%Y-%m-%d %H:%M:%S') AS start"
 def stm1(spark, folder):
     out = feed.BatchTable(spark, "events")
     feed.Replay(spark, {"events": _events(spark, folder)}).run(lambda s: s.select("event_type", "value"), out.write)
-    return out.read().groupBy("event_type").agg(N, F.round(F.sum("value"), 2).alias("total"))
+    return out.read().groupBy("event_type").agg(row_count(), F.round(F.sum("value"), 2).alias("total"))
 
 
 @query("stm2_batch_queue", f"WITH {EVENTS} SELECT slice, event_id % 10 AS key, count(*) AS n FROM ev GROUP BY 1, 2")
 def stm2(spark, folder):
-    work = lambda df: df.groupBy("slice", (F.col("event_id") % 10).alias("key")).agg(N)
+    work = lambda df: df.groupBy("slice", (F.col("event_id") % 10).alias("key")).agg(row_count())
     return feed.per_batch(spark, {"events": _events(spark, folder)}, work).groupBy("slice", "key").agg(F.sum("n").alias("n"))
 
 
 @query("stm3_word_count_per_batch", f"WITH {ctes.WORDS} SELECT CAST(doc_id % 3 AS INT) AS slice, word, count(*) AS n FROM words GROUP BY 1, 2")
 def stm3(spark, folder):
-    work = lambda df: words_of(df, "line", "slice").groupBy("slice", "word").agg(N)
+    work = lambda df: words_of(df, "line", "slice").groupBy("slice", "word").agg(row_count())
     return feed.per_batch(spark, {"lines": _lines(spark, folder)}, work).groupBy("slice", "word").agg(F.sum("n").alias("n"))
 
 
@@ -72,7 +77,7 @@ def stm3(spark, folder):
   FROM (SELECT unnest(range(0, 4)) AS s)""")
 def stm4(spark, folder):
     """The fourth slice is empty and is reported as well."""
-    counts = feed.per_batch(spark, {"events": _events(spark, folder)}, lambda df: df.groupBy("slice").agg(N), slices=4)
+    counts = feed.per_batch(spark, {"events": _events(spark, folder)}, lambda df: df.groupBy("slice").agg(row_count()), slices=4)
     totals = counts.groupBy("slice").agg(F.sum("n").alias("n"))
     return spark.range(4).select(F.col("id").alias("slice")).join(totals, "slice", "left").select(
         "slice", F.format_string("Received %d events.", F.coalesce("n", F.lit(0))).alias("message"))
@@ -89,7 +94,7 @@ def stm5(spark, folder):
     def build(a, b, c):
         pair = lambda x, y, name: x.unionByName(y).withColumn("pair", F.lit(name))
         every = pair(a, b, "ab").unionByName(pair(a, c, "ac")).unionByName(pair(b, c, "bc"))
-        return words_of(every, "line", "pair").groupBy("pair", "word").agg(N)
+        return words_of(every, "line", "pair").groupBy("pair", "word").agg(row_count())
 
     return feed.updates(spark, inputs, build, ["pair", "word"])
 
@@ -98,13 +103,13 @@ def stm5(spark, folder):
 def stm6(spark, folder):
     lines = _lines(spark, folder)
     inputs = {f"s{i}": lines.where(F.floor(F.col("doc_id") / 3) % 2 == i) for i in range(2)}
-    build = lambda a, b: grep(a.unionByName(b), "line", "the").groupBy(F.lit(1).alias("one")).agg(N)
+    build = lambda a, b: grep(a.unionByName(b), "line", "the").groupBy(F.lit(1).alias("one")).agg(row_count())
     return feed.updates(spark, inputs, build, ["one"]).select("n")
 
 
 @query("stm7_running_count", f"WITH {ctes.WORDS} SELECT word, count(*) AS n FROM words GROUP BY word")
 def stm7(spark, folder):
-    return feed.updates(spark, {"lines": _lines(spark, folder)}, lambda s: words_of(s).groupBy("word").agg(N), ["word"])
+    return feed.updates(spark, {"lines": _lines(spark, folder)}, lambda s: words_of(s).groupBy("word").agg(row_count()), ["word"])
 
 
 @query("stm8_running_count_with_initial", """SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id)
@@ -116,14 +121,14 @@ def stm8(spark, folder):
 
 @query("stm9_sliding_count", f"""WITH {_hops('events', 6)} SELECT {_START}, event_type, count(*) AS n FROM w GROUP BY 1, 2""")
 def stm9(spark, folder):
-    build = lambda s: feed.windowed(s, "ts", "6 hours", "1 hour", ["event_type"], N)
+    build = lambda s: feed.windowed(s, "ts", "6 hours", "1 hour", ["event_type"], row_count())
     return feed.updates(spark, {"events": _events(spark, folder)}, build, ["start", "event_type"]).select(*_stamp("start"), "event_type", "n")
 
 
 @query("stm10_sliding_sum", f"""WITH {_hops('events', 10)} SELECT {_START}, user_id % 5 AS key, count(*) AS n, round(sum(value), 2) AS total FROM w GROUP BY 1, 2""")
 def stm10(spark, folder):
     build = lambda s: feed.windowed(s.withColumn("key", F.col("user_id") % 5), "ts", "10 hours", "1 hour", ["key"],
-                                    N, F.round(F.sum("value"), 2).alias("total"))
+                                    row_count(), F.round(F.sum("value"), 2).alias("total"))
     return feed.updates(spark, {"events": _events(spark, folder)}, build, ["start", "key"]).select(*_stamp("start"), "key", "n", "total")
 
 
@@ -138,7 +143,7 @@ def stm11(spark, folder):
     tags = _events(spark, folder).select("slice", "ts", F.concat(F.lit("#"), F.get_json_object("props", "$.k")).alias("tag"))
     spans = []
     for span, length in (("long", "1 day"), ("short", "1 hour")):
-        build = lambda s, length=length: feed.windowed(s, "ts", length, None, ["tag"], N)
+        build = lambda s, length=length: feed.windowed(s, "ts", length, None, ["tag"], row_count())
         spans.append(feed.updates(spark, {"tags": tags}, build, ["start", "tag"]).withColumn("span", F.lit(span)))
     counts = spans[0].unionByName(spans[1])
     kinds = counts.groupBy("span", "start").agg(F.count(F.lit(1)).alias("tags"))
@@ -157,14 +162,14 @@ def stm12(spark, folder):
 @query("stm13_active_users", f"WITH {_hops('events', 6)} SELECT {_START}, count(DISTINCT user_id) AS users FROM w GROUP BY 1")
 def stm13(spark, folder):
     """The stream keeps one row per window and user; distinct users are then counted per window."""
-    build = lambda s: feed.windowed(s, "ts", "6 hours", "1 hour", ["user_id"], N)
+    build = lambda s: feed.windowed(s, "ts", "6 hours", "1 hour", ["user_id"], row_count())
     seen = feed.updates(spark, {"events": _events(spark, folder)}, build, ["start", "user_id"])
     return seen.groupBy("start").agg(F.count(F.lit(1)).alias("users")).select(*_stamp("start"), "users")
 
 
 @query("stm14_page_counts", f"""WITH {ctes.PAGEVIEWS}, w AS (SELECT url, date_trunc('day', ts) AS st FROM pageviews) SELECT {_START}, url, count(*) AS n FROM w GROUP BY 1, 2""")
 def stm14(spark, folder):
-    build = lambda s: feed.windowed(s, "ts", "1 day", None, ["url"], N)
+    build = lambda s: feed.windowed(s, "ts", "1 day", None, ["url"], row_count())
     return feed.updates(spark, {"views": _views(spark, folder)}, build, ["start", "url"]).select(*_stamp("start"), "url", "n")
 
 
@@ -216,7 +221,7 @@ def join7(spark, folder):
     """Users seen in each batch with their names from a table at rest."""
     users = broadcast_if_small(table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name")))
     out = feed.BatchTable(spark, "seen")
-    each = lambda df, i: out.write(df.groupBy("slice", "user_id", "name").agg(N), i)
+    each = lambda df, i: out.write(df.groupBy("slice", "user_id", "name").agg(row_count()), i)
     feed.Replay(spark, {"events": _events(spark, folder)}).run(lambda s: s.join(users, "user_id"), each)
     return out.read().groupBy("slice", "user_id", "name").agg(F.sum("n").alias("n"))
 
@@ -247,7 +252,7 @@ def stm20_predict(spark, folder):
     c = learning.streaming_kmeans(spark, e, "embedding", models.first_points(e, "embedding", "vec_id", 5))
     nearest = models.nearest_centre(c)
     out = feed.per_batch(spark, {"test": e}, lambda df: df.select("label", nearest(F.col("embedding").cast("array<double>"))["cluster"].alias("cluster")))
-    return out.groupBy("label", "cluster").agg(N)
+    return out.groupBy("label", "cluster").agg(row_count())
 
 
 def _gradient_sql(logistic: bool) -> str:
@@ -285,7 +290,7 @@ def stm22(spark, folder):
 
 def _ab(spark, folder):
     e = _events(spark, folder).where(F.col("event_type").isin("purchase", "click")).withColumn("g", F.col("event_type") == "purchase")
-    build = lambda s: s.groupBy("g").agg(N, F.avg("value").alias("mean"), F.var_samp("value").alias("variance"))
+    build = lambda s: s.groupBy("g").agg(row_count(), F.avg("value").alias("mean"), F.var_samp("value").alias("variance"))
     return learning.welch(feed.updates(spark, {"events": e}, build, ["g"]), "g")
 
 

@@ -32,3 +32,7 @@ def with_seconds(day: Column, clock: Column) -> Column:
     """``yyyy-MM-dd`` and ``HH:mm`` joined into ``yyyy-MM-dd HH:mm:ss``; null if not a time."""
     at = F.try_to_timestamp(F.concat_ws(" ", day, clock), F.lit("yyyy-MM-dd HH:mm"))
     return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+
+
+def row_count(name: str = "n") -> Column:
+    return F.count(F.lit(1)).alias(name)
