@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import ctes
 from millrace.functions import numeric, weblog
+from millrace.functions.numeric import row_count
 from millrace.operators import joins, ranking, sampling, sketches
 from millrace.plans.ordering import carry_forward, row_index
 from millrace.plans.skew import salted_totals
-from millrace.functions.numeric import row_count
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
@@ -224,6 +224,16 @@ def agg17(spark, folder):
     return sketches.frequency_estimates(table(spark, folder, "lineitem"), "l_suppkey")
 
 
+@query("agg17_estimate_bounds", "SELECT l_suppkey, count(*) AS n, true AS never_below, true AS within FROM lineitem GROUP BY l_suppkey")
+def agg17_bounds(spark, folder):
+    """Estimates against true counts: never below, and above by at most eps * N."""
+    l = table(spark, folder, "lineitem")
+    e = sketches.frequency_estimates(l, "l_suppkey")
+    slack = sketches.CountMin().eps * l.agg(F.count(F.lit(1))).scalar()
+    return e.select("l_suppkey", "n", (F.col("estimate") >= F.col("n")).alias("never_below"),
+                    (F.col("estimate") <= F.col("n") + slack).alias("within"))
+
+
 @query("agg18_heavy_hitters")
 def agg18(spark, folder):
     return sketches.heavy_hitters(table(spark, folder, "lineitem"), "l_suppkey")

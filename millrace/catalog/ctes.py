@@ -27,3 +27,6 @@ LABELLED = """labelled AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey
   CASE l_returnflag WHEN 'A' THEN 0.0::DOUBLE WHEN 'N' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS label FROM lineitem)"""
 CELLS = """cells AS (SELECT 'row' || c_custkey AS row, unnest(['name', 'nation', 'segment']) AS qualifier,
   unnest([c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment]) AS value FROM customer)"""
+NAIVE_BAYES = LABELLED + """, s AS (SELECT label, count(*) AS n, sum(x0) AS x0, sum(x1) AS x1, sum(x2) AS x2, sum(x3) AS x3 FROM labelled GROUP BY label),
+  t AS (SELECT label, ln(n + 1) - ln((SELECT sum(n) FROM s) + (SELECT count(*) FROM s)) AS prior, ln(x0 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t0,
+  ln(x1 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t1, ln(x2 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t2, ln(x3 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t3 FROM s)"""

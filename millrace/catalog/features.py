@@ -9,9 +9,9 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from millrace.catalog import ctes
+from millrace.functions.numeric import row_count
 from millrace.functions.vectors import spread
 from millrace.operators import features, linear
-from millrace.functions.numeric import row_count
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
@@ -68,11 +68,12 @@ def fea4(spark, folder):
                       F.size(F.array_distinct("g")).cast("bigint").alias("kinds"), F.array_min("g").alias("low"))
 
 
-@query("fea5_hashing_tf")
+@query("fea5_hashing_tf", f"WITH {_TOKENS} SELECT doc_id, CAST(len(t) AS DOUBLE) AS total FROM tok")
 def fea5(spark, folder):
     raw = ft.Tokenizer(inputCol="text", outputCol="t").transform(_docs(spark, folder))
     out = ft.HashingTF(inputCol="t", outputCol="f", numFeatures=64).transform(raw)
-    return out.select("doc_id", F.aggregate(vector_to_array("f"), F.lit(0.0), lambda a, x: a + x).alias("total"))
+    total = F.aggregate(features.active_entries("f"), F.lit(0.0), lambda a, e: a + e["weight"])
+    return out.select("doc_id", total.alias("total"))
 
 
 @query("fea6_idf", f"""WITH {ctes.BASKETS}, m AS (SELECT count(DISTINCT l_orderkey) AS m FROM baskets),
@@ -106,7 +107,8 @@ def fea7_learned(spark, folder):
 @query("fea8_word2vec")
 def fea8(spark, folder):
     raw = ft.RegexTokenizer(inputCol="text", outputCol="t", pattern=r"\W").transform(_docs(spark, folder))
-    model = ft.Word2Vec(vectorSize=3, minCount=5, seed=1, maxIter=1, inputCol="t", outputCol="v").fit(raw)
+    parts = spark.sparkContext.defaultParallelism
+    model = ft.Word2Vec(vectorSize=3, minCount=5, seed=1, maxIter=1, numPartitions=parts, inputCol="t", outputCol="v").fit(raw)
     return spread(model.transform(raw), "v", ["v0", "v1", "v2"], "doc_id")
 
 
@@ -311,5 +313,4 @@ def fea32(spark, folder):
   len(list_distinct(list_filter(t, lambda w: w NOT IN ('the','of','and','is','de','la')))) AS terms FROM tok""")
 def fea33(spark, folder):
     corpus, _ = features.text_corpus(_docs(spark, folder), "doc_id", "text", 1 << 18, STOP)
-    active = F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).cast("bigint")
-    return corpus.select("row", "doc_id", active.alias("terms"))
+    return corpus.select("row", "doc_id", F.size(features.active_entries("features")).cast("bigint").alias("terms"))

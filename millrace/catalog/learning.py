@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import ctes
 from millrace.functions import numeric
+from millrace.functions.numeric import row_count
 from millrace.operators import evaluation as ev
 from millrace.operators import models, neighbours, patterns, sampling
 from millrace.operators.custom import UntrainedClassifier
-from millrace.operators.features import assemble, text_corpus
+from millrace.operators.features import assemble, text_corpus, vocabulary_table
+from millrace.operators.graph import power_iteration_clusters
 from millrace.operators.joins import band_pairs
-from millrace.functions.numeric import row_count
+from millrace.plans.durable import staged
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
@@ -110,12 +112,7 @@ def cls5(spark, folder):
     return _fit_score(cl.LinearSVC(maxIter=10, regParam=0.01), _binary(spark, folder), _KEY)
 
 
-_NB = f"""{ctes.LABELLED}, s AS (SELECT label, count(*) AS n, sum(x0) AS x0, sum(x1) AS x1, sum(x2) AS x2, sum(x3) AS x3 FROM labelled GROUP BY label),
-  t AS (SELECT label, ln(n + 1) - ln((SELECT sum(n) FROM s) + (SELECT count(*) FROM s)) AS prior, ln(x0 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t0,
-  ln(x1 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t1, ln(x2 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t2, ln(x3 + 1) - ln(x0 + x1 + x2 + x3 + 4) AS t3 FROM s)"""
-
-
-@query("cls6_naive_bayes", f"WITH {_NB} SELECT label, round(prior, 6) AS prior, round(t0, 6) AS t0, round(t1, 6) AS t1, round(t2, 6) AS t2, round(t3, 6) AS t3 FROM t")
+@query("cls6_naive_bayes", f"WITH {ctes.NAIVE_BAYES} SELECT label, round(prior, 6) AS prior, round(t0, 6) AS t0, round(t1, 6) AS t1, round(t2, 6) AS t2, round(t3, 6) AS t3 FROM t")
 def cls6(spark, folder):
     """Fitted log priors and log likelihoods."""
     model = cl.NaiveBayes(smoothing=1.0, modelType="multinomial").fit(assemble(views.labelled_lines(spark, folder), X))
@@ -124,7 +121,7 @@ def cls6(spark, folder):
     return spark.createDataFrame(rows, "label double, prior double, t0 double, t1 double, t2 double, t3 double")
 
 
-@query("cls6_naive_bayes_predictions", f"""WITH {_NB}, p AS (SELECT l.label, arg_max(t.label, prior + l.x0 * t0 + l.x1 * t1 + l.x2 * t2 + l.x3 * t3) AS prediction
+@query("cls6_naive_bayes_predictions", f"""WITH {ctes.NAIVE_BAYES}, p AS (SELECT l.label, arg_max(t.label, prior + l.x0 * t0 + l.x1 * t1 + l.x2 * t2 + l.x3 * t3) AS prediction
   FROM (SELECT *, row_number() OVER () AS rid FROM labelled) l, t GROUP BY l.rid, l.label) SELECT label, prediction, count(*) AS n FROM p GROUP BY 1, 2""")
 def cls6_predict(spark, folder):
     l = views.labelled_lines(spark, folder)
@@ -319,20 +316,23 @@ def clu5(spark, folder):
     pairs = band_pairs(e, ["value", "event_id"], ["event_id", "value", "u"], 3)
     s = numeric.gaussian_similarity(F.col("value0"), F.col("u0"), F.col("value1"), F.col("u1"))
     graph = pairs.select(F.col("event_id0").alias("src"), F.col("event_id1").alias("dst"), (s + F.lit(1e-9)).alias("weight"))
-    made = cu.PowerIterationClustering(k=2, maxIter=15, initMode="degree", weightCol="weight").assignClusters(graph)
-    return made.groupBy("cluster").agg(row_count())
+    return power_iteration_clusters(graph, k=2, iterations=15).groupBy("cluster").agg(row_count())
 
 
 def _corpus(spark, folder):
-    return text_corpus(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text", 2000, ["the", "of", "and", "is", "de", "la"])
+    """Counted terms, written once because every round of a fit reads them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    corpus, vocabulary = text_corpus(docs, "doc_id", "text", 2000, ["the", "of", "and", "is", "de", "la"])
+    return staged(corpus, "corpus"), vocabulary
 
 
 @query("clu6_lda_online")
 def clu6(spark, folder):
     corpus, vocabulary = _corpus(spark, folder)
     model = cu.LDA(k=5, maxIter=3, optimizer="online", seed=1).fit(corpus)
-    topics = model.describeTopics(5).select("topic", F.posexplode("termIndices").alias("pos", "i"), "termWeights")
-    return topics.select("topic", "pos", F.get(F.lit(vocabulary), F.col("i")).alias("term"), F.get("termWeights", F.col("pos")).alias("weight"))
+    weights = F.inline(F.arrays_zip("termIndices", "termWeights"))
+    topics = model.describeTopics(5).select("topic", weights).withColumnsRenamed({"termIndices": "pos", "termWeights": "weight"})
+    return topics.join(vocabulary_table(spark, vocabulary), "pos").select("topic", "term", "weight")
 
 
 @query("clu6_lda_em")
@@ -377,7 +377,8 @@ def fpm3(spark, folder):
 
 def _texts(spark, folder):
     d = table(spark, folder, "documents").select("doc_id", "text")
-    return d.join(table(spark, folder, "labels"), "doc_id").select("doc_id", "text", F.col("toxic").cast("double").alias("label"))
+    joined = d.join(table(spark, folder, "labels"), "doc_id")
+    return staged(joined.select("doc_id", "text", F.col("toxic").cast("double").alias("label")), "texts")
 
 
 def _text_stages():

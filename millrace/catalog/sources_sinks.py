@@ -144,7 +144,8 @@ def snk4(spark, folder):
     return spark.read.text(path)
 
 
-@query("snk5_save_load_model")
+@query("snk5_save_load_model", f"""WITH {ctes.NAIVE_BAYES}, p AS (SELECT arg_max(t.label, prior + l.x0 * t0 + l.x1 * t1 + l.x2 * t2 + l.x3 * t3) AS c
+  FROM (SELECT *, row_number() OVER () AS rid FROM labelled) l, t GROUP BY l.rid) SELECT c AS first, c AS second, count(*) AS n FROM p GROUP BY c""")
 def snk5(spark, folder):
     """Predictions of a reloaded model, counted against those of the fitted one."""
     from pyspark.ml.classification import NaiveBayes, NaiveBayesModel

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.functions.vectors import libsvm_line
 from millrace.plans.ordering import row_index
@@ -66,7 +65,21 @@ def text_corpus(docs: DataFrame, identity: str, text: str, vocabulary: int,
     return numbered, model.stages[-1].vocabulary
 
 
+def active_entries(vector: str) -> Column:
+    """Positions and values of a vector's non-zero entries, without filling in the zeros."""
+    raw = F.unwrap_udt(F.col(vector))
+    dense = F.transform(raw["values"], lambda x, i: F.struct(i.cast("int").alias("pos"), x.alias("weight")))
+    sparse = F.transform(F.arrays_zip(raw["indices"], raw["values"]),
+                         lambda s: F.struct(s["indices"].alias("pos"), s["values"].alias("weight")))
+    return F.filter(F.when(raw["type"] == 0, sparse).otherwise(dense), lambda s: s["weight"] != 0)
+
+
 def term_rows(df: DataFrame, vector: str, vocabulary: Sequence[str], *keep: str) -> DataFrame:
     """Non-zero entries of a count vector as (term, weight) rows."""
-    terms = df.select(*keep, F.posexplode(vector_to_array(vector)).alias("_p", "weight")).where(F.col("weight") != 0)
-    return terms.select(*keep, F.get(F.lit(list(vocabulary)), F.col("_p")).alias("term"), "weight")
+    entries = df.select(*keep, F.inline(active_entries(vector)))
+    return entries.join(vocabulary_table(df.sparkSession, vocabulary), "pos").select(*keep, "term", "weight")
+
+
+def vocabulary_table(spark: SparkSession, vocabulary: Sequence[str]) -> DataFrame:
+    """(pos, term), broadcast: a vocabulary is never longer than the size it was asked for."""
+    return F.broadcast(spark.createDataFrame(list(enumerate(vocabulary)), "pos int, term string"))

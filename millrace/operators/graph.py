@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.plans.durable import checkpointed, staged
@@ -44,24 +46,29 @@ def degree_histogram(edges: DataFrame) -> DataFrame:
 class _Adjacency:
     """Links laid out once, by (src, salt), for many rounds of rank passing.
 
-    Only the rank table moves in a round; the links stay where they are.
+    Only the rank table moves in a round; the links stay where they are, sorted for the join.
     """
 
-    def __init__(self, links: DataFrame):
+    def __init__(self, links: DataFrame, weight: str | None = None):
+        self.weight = weight
+        kept = ["dst", weight] if weight else ["dst"]
         partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.sources = (links.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
                         .withColumn("_salts", salt_count(F.col("_out"), EDGES_PER_SALT))
                         .persist(StorageLevel.MEMORY_AND_DISK))
         self.links = (links.join(self.sources.select("src", "_salts"), "src")
-                      .select("src", salt_of(F.col("_salts"), "dst").alias("_salt"), "dst")
-                      .repartition(partitions, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK))
+                      .select("src", salt_of(F.col("_salts"), "dst").alias("_salt"), *kept)
+                      .repartition(partitions, "src", "_salt").sortWithinPartitions("src", "_salt")
+                      .persist(StorageLevel.MEMORY_AND_DISK))
 
     def received(self, ranks: DataFrame) -> DataFrame:
-        """Sum over in-links of rank / out-degree, for the vertices that have in-links."""
+        """Sum over in-links of rank / out-degree (or rank * weight), for vertices with in-links."""
+        passed = F.col("rank") if self.weight else F.col("rank") / F.col("_out")
         share = (ranks.join(self.sources, ranks["id"] == self.sources["src"])
-                 .select("src", (F.col("rank") / F.col("_out")).alias("_share"), all_salts(F.col("_salts")).alias("_salt")))
+                 .select("src", passed.alias("_share"), all_salts(F.col("_salts")).alias("_salt")))
+        value = F.col("_share") * F.col(self.weight) if self.weight else F.col("_share")
         return (self.links.join(share, ["src", "_salt"])
-                .groupBy(F.col("dst").alias("id")).agg(F.sum("_share").alias("_in")))
+                .groupBy(F.col("dst").alias("id")).agg(F.sum(value).alias("_in")))
 
     def release(self) -> None:
         self.links.unpersist()
@@ -74,7 +81,7 @@ def pagerank_links(links: DataFrame, iterations: int = 10, damping: float = 0.85
     Pages without in-links drop out after the first round; pages without out-links receive
     rank and pass none on.
     """
-    graph = _Adjacency(links.distinct())
+    graph = _Adjacency(staged(links.select("src", "dst").distinct(), "links"))
     ranks = graph.sources.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     for i in range(1, iterations + 1):
         ranks = graph.received(ranks).select("id", (F.lit(1 - damping) + F.lit(damping) * F.col("_in")).alias("rank"))
@@ -88,8 +95,9 @@ def pagerank_links(links: DataFrame, iterations: int = 10, damping: float = 0.85
 def pagerank(edges: DataFrame, iterations: int | None = 10, tolerance: float = 0.001,
              reset: float = 0.15, cut_every: int = 5, max_rounds: int = 200) -> DataFrame:
     """Ranks of every vertex: a fixed number of rounds, or until no rank moves by ``tolerance``."""
-    graph = _Adjacency(edges)
-    everyone = staged(vertices_of(edges), "vertices")
+    kept = staged(edges.select("src", "dst"), "links")
+    graph = _Adjacency(kept)
+    everyone = staged(vertices_of(kept), "vertices")
     ranks = everyone.withColumn("rank", F.lit(1.0))
     rounds = iterations or max_rounds
     for i in range(1, rounds + 1):
@@ -108,6 +116,29 @@ def pagerank(edges: DataFrame, iterations: int | None = 10, tolerance: float = 0
     return ranks
 
 
+def power_iteration_clusters(similarity: DataFrame, k: int, iterations: int = 15, cut_every: int = 5, seed: int = 1) -> DataFrame:
+    """(id, cluster) from the dominant direction of the row-normalised similarity graph.
+
+    ``similarity`` holds each pair once as (src, dst, weight). Values start from the degrees, take
+    the weighted mean of their neighbours in every round and are then grouped by k-means
+    (Lin and Cohen, 2010). The rounds only average, so scaling by the mean waits for the end.
+    """
+    both = similarity.select("src", "dst", "weight").unionByName(
+        similarity.where("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+    both = staged(both.groupBy("src", "dst").agg(F.sum("weight").alias("weight")), "similarity")
+    degree = staged(both.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("_degree")).where("_degree > 0"), "degree")
+    graph = _Adjacency(both, "weight")
+    values = degree.select("id", (F.col("_degree") / degree.agg(F.avg("_degree")).scalar()).alias("rank"))
+    for i in range(1, iterations + 1):
+        values = graph.received(values).join(degree, "id").select("id", (F.col("_in") / F.col("_degree")).alias("rank"))
+        if i % cut_every == 0 or i == iterations:
+            values = checkpointed(values)
+    graph.release()
+    scaled = values.select("id", array_to_vector(F.array(F.col("rank") / values.agg(F.avg("rank")).scalar())).alias("features"))
+    model = KMeans(k=k, seed=seed, tol=0.0).fit(scaled)
+    return model.transform(scaled).select("id", F.col("prediction").alias("cluster"))
+
+
 def transitive_closure(edges: DataFrame) -> DataFrame:
     """All pairs (src, dst) joined by a path. Each round extends only the newest pairs."""
     steps = staged(edges.select("src", "dst").distinct(), "edges")
@@ -145,7 +176,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds (Kiveris et al., 2014): the number of rounds
     grows with the logarithm of the graph's size.
     """
-    everyone = vertices_of(edges)
+    everyone = staged(vertices_of(edges), "vertices")
     pairs = staged(canonical(edges).select(F.col("dst").alias("u"), F.col("src").alias("v")), "pairs")
     before = None
     while True:

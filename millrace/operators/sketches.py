@@ -62,7 +62,8 @@ class CountMin:
         grid = [[0] * self.width for _ in range(self.depth)]
         for cell in cells.collect():
             grid[cell["row"]][cell["bucket"]] = cell["n"]
-        reads = [F.get(F.lit(line), self.bucket(F.col(column), r).cast("int")) for r, line in enumerate(grid)]
+        lines = [F.expr("array(" + ", ".join(f"{n}L" for n in line) + ")") for line in grid]
+        reads = [F.get(line, self.bucket(F.col(column), r).cast("int")) for r, line in enumerate(lines)]
         return F.least(*reads), sum(grid[0])
 
 

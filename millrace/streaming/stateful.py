@@ -65,8 +65,9 @@ def heavy_by_batch(spark: SparkSession, rows: DataFrame, column: str, slices: in
                    share: float = 0.001, sketch: sketches.CountMin = sketches.CountMin()) -> DataFrame:
     """Estimated heavy values of every batch (slice) and of the whole stream (slice -1).
 
-    Only sketches are kept between batches, plus the values that were heavy in some batch:
-    a value above the share overall is above it in at least one batch.
+    Only sketches are kept between batches, plus the values that were heavy in some batch. A value
+    that truly holds the share overall holds it in at least one batch, and estimates are never too
+    low, so no such value is missed.
     """
     cells, found = BatchTable(spark, "cells"), BatchTable(spark, "heavy")
 
