@@ -35,7 +35,7 @@ def join2(spark, folder):
             .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
             .agg(F.max("l_quantity").alias("best")))
     return views.ratings(spark, folder).join(best, ["user", "item"]).select(
-        "user", "item", F.round("rating", 4).alias("rating"), "best")
+        F.col("user").cast("bigint").alias("user"), F.col("item").cast("bigint").alias("item"), F.round("rating", 4).alias("rating"), "best")
 
 
 @query("join3_left_default", """SELECT p_partkey, coalesce(q, 0.0) AS quantity FROM part LEFT JOIN
@@ -278,7 +278,8 @@ def srt5(spark, folder):
   (SELECT *, row_number() OVER (PARTITION BY user ORDER BY rating DESC, item) AS rank FROM ratings) WHERE rank <= 10""")
 def srt6(spark, folder):
     top = ranking.top_k_per_group(views.ratings(spark, folder), "user", "rating", "item", 10)
-    return top.select("user", "item", F.round("rating", 4).alias("rating"), "rank")
+    return top.select(F.col("user").cast("bigint").alias("user"), F.col("item").cast("bigint").alias("item"),
+                      F.round("rating", 4).alias("rating"), F.col("rank").cast("bigint").alias("rank"))
 
 
 @query("srt7_carry_forward", """SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS)

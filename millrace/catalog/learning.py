@@ -7,7 +7,7 @@ from pyspark.ml import classification as cl
 from pyspark.ml import clustering as cu
 from pyspark.ml import regression as rg
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import CountVectorizer, HashingTF, RegexTokenizer, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF, Tokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
@@ -266,7 +266,7 @@ def rec4(spark, folder):
     p = r.groupBy("item").agg(F.max("rating").alias("prediction"))
     titles = table(spark, folder, "part").select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("title"))
     return r.join(p, "item").where((F.col("rating") <= 1) & (F.col("prediction") >= 4)).join(titles, "item").select(
-        "user", "item", "title", F.round("rating", 4).alias("rating"), F.round("prediction", 4).alias("prediction"))
+        F.col("user").cast("bigint").alias("user"), F.col("item").cast("bigint").alias("item"), "title", F.round("rating", 4).alias("rating"), F.round("prediction", 4).alias("prediction"))
 
 
 def _lloyd_sql(steps: int) -> str:

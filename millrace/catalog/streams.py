@@ -148,7 +148,7 @@ def stm11(spark, folder):
     counts = spans[0].unionByName(spans[1])
     kinds = counts.groupBy("span", "start").agg(F.count(F.lit(1)).alias("tags"))
     ranked = counts.withColumn("rank", F.row_number().over(W.partitionBy("span", "start").orderBy(F.desc("n"), "tag"))).where("rank <= 10")
-    return ranked.join(kinds, ["span", "start"]).select("span", *_stamp("start"), "tag", "n", "rank", "tags")
+    return ranked.join(kinds, ["span", "start"]).select("span", *_stamp("start"), "tag", "n", F.col("rank").cast("bigint").alias("rank"), "tags")
 
 
 @query("stm12_error_rate_per_zip", f"""WITH {ctes.PAGEVIEWS}, {_hops('pageviews', 12)}, c AS (SELECT st, zip, count(*) FILTER (status <> 200) / count(*) AS rate FROM w GROUP BY 1, 2)

@@ -54,4 +54,4 @@ def page_view(line: Column) -> Column:
     """Tab-separated ``url status zip user`` as a struct."""
     part = F.split(line, "\t")
     return F.struct(part[0].alias("url"), part[1].try_cast("int").alias("status"),
-                    part[2].try_cast("int").alias("zip"), part[3].try_cast("bigint").alias("user_id"))
+                    part[2].try_cast("bigint").alias("zip"), part[3].try_cast("bigint").alias("user_id"))

@@ -37,7 +37,7 @@ def page_views(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id"), F.col("ts"),
         F.concat(F.lit("http://foo.com/"), F.col("event_type")).alias("url"),
         F.when(F.col("event_type") == "error", 404).otherwise(200).alias("status"),
-        (F.lit(94000) + F.col("user_id") % 7).cast("int").alias("zip"), F.col("user_id"))
+        (F.lit(94000) + F.col("user_id") % 7).alias("zip"), F.col("user_id"))
 
 
 def part_links(spark: SparkSession, folder: str) -> DataFrame:

@@ -94,7 +94,7 @@ def exact_by_batch(spark: SparkSession, rows: DataFrame, column: str, slices: in
         lambda s: s, lambda df, i: table.write(df.groupBy("slice", column).agg(F.count(F.lit(1)).alias("estimate")), i))
     both = table.read().select(F.explode(F.array("slice", F.lit(-1))).alias("slice"), column, "estimate")
     counts = both.groupBy("slice", column).agg(F.sum("estimate").alias("estimate"))
-    return counts.withColumn("rank", F.row_number().over(_by_estimate(column))).where(F.col("rank") <= k)
+    return counts.withColumn("rank", F.row_number().over(_by_estimate(column)).cast("bigint")).where(F.col("rank") <= k)
 
 
 def _by_estimate(column: str):

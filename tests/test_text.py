@@ -37,11 +37,12 @@ def test_file_names(spark):
 def test_access_log(spark):
     line = '1.2.3.4 - {user} [18/Jan/2013:17:56:07 +1100] "GET /x HTTP/1.1" 304 {sent} "http://r/" "agent" tail'
     rows = [line.format(user='"ANN"', sent="315"), line.format(user='"ANN"', sent="-"),
-            line.format(user='"-"', sent="20"), "not a log line"]
+            line.format(user='"-"', sent="20"), "not a log line", line.format(user='"A\x01"', sent="5")]
     got = spark.createDataFrame([(r,) for r in rows], "line string").select(weblog.access_log(F.col("line")).alias("e")).select(
         *weblog.visit_key(F.col("e")), weblog.visit_bytes(F.col("e"))).collect()
     key = ("1.2.3.4", '"ANN"', "GET /x HTTP/1.1")
-    assert [tuple(r) for r in got] == [(*key, 315), (*key, 0), (None, None, None, 20), (None, None, None, 0)]
+    assert [tuple(r) for r in got] == [(*key, 315), (*key, 0), (None, None, None, 20), (None, None, None, 0),
+                                       ("1.2.3.4", '"A\x01"', "GET /x HTTP/1.1", 5)]
 
 
 def test_times(spark):
