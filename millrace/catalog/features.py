@@ -12,6 +12,7 @@ from millrace.catalog import ctes
 from millrace.functions.numeric import row_count
 from millrace.functions.vectors import spread
 from millrace.operators import features, linear
+from millrace.plans.sizing import balanced
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
@@ -21,7 +22,7 @@ PARTS = "parts AS (SELECT p_partkey, p_size / 49 AS x, p_retailprice / 1999 AS y
 
 
 def _docs(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return balanced(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def _parts(spark, folder):

@@ -23,6 +23,7 @@ from millrace.operators.features import assemble, text_corpus, vocabulary_table
 from millrace.operators.graph import power_iteration_clusters
 from millrace.operators.joins import band_pairs
 from millrace.plans.durable import staged
+from millrace.plans.sizing import balanced
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
@@ -31,18 +32,18 @@ X = ["x0", "x1", "x2", "x3"]
 
 
 def _points(spark, folder):
-    return table(spark, folder, "embeddings").select(
+    return balanced(table(spark, folder, "embeddings")).select(
         "vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features"))
 
 
 def _binary(spark, folder):
     """Line items with a price above the middle, from quantity, discount and tax."""
-    l = views.labelled_lines(spark, folder).withColumn("label", (F.col("x1") > 0.3).cast("double"))
+    l = balanced(views.labelled_lines(spark, folder)).withColumn("label", (F.col("x1") > 0.3).cast("double"))
     return assemble(l, ["x0", "x2", "x3"])
 
 
 def _priced(spark, folder):
-    return assemble(views.labelled_lines(spark, folder).withColumn("label", F.col("x1")), ["x0", "x2", "x3"])
+    return assemble(balanced(views.labelled_lines(spark, folder)).withColumn("label", F.col("x1")), ["x0", "x2", "x3"])
 
 
 _KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -146,7 +147,7 @@ def cls9(spark, folder):
 
 @query("cls10_multilayer_perceptron")
 def cls10(spark, folder):
-    l = assemble(views.labelled_lines(spark, folder), X)
+    l = assemble(balanced(views.labelled_lines(spark, folder)), X)
     return _fit_score(cl.MultilayerPerceptronClassifier(layers=[4, 5, 4, 3], blockSize=128, seed=1234, maxIter=20), l, _KEY)
 
 
@@ -304,7 +305,7 @@ def clu3(spark, folder):
 
 @query("clu4_gaussian_mixture")
 def clu4(spark, folder):
-    l = assemble(views.labelled_lines(spark, folder), X)
+    l = assemble(balanced(views.labelled_lines(spark, folder)), X)
     model = cu.GaussianMixture(k=3, maxIter=5, seed=1).fit(l)
     return model.transform(l).groupBy("prediction").agg(row_count(), F.avg(F.array_max(vector_to_array("probability"))).alias("sureness"))
 
@@ -321,9 +322,9 @@ def clu5(spark, folder):
 
 def _corpus(spark, folder):
     """Counted terms, written once because every round of a fit reads them."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = balanced(table(spark, folder, "documents").select("doc_id", "text"))
     corpus, vocabulary = text_corpus(docs, "doc_id", "text", 2000, ["the", "of", "and", "is", "de", "la"])
-    return staged(corpus, "corpus"), vocabulary
+    return balanced(staged(corpus, "corpus")), vocabulary
 
 
 @query("clu6_lda_online")
@@ -378,7 +379,7 @@ def fpm3(spark, folder):
 def _texts(spark, folder):
     d = table(spark, folder, "documents").select("doc_id", "text")
     joined = d.join(table(spark, folder, "labels"), "doc_id")
-    return staged(joined.select("doc_id", "text", F.col("toxic").cast("double").alias("label")), "texts")
+    return balanced(staged(joined.select("doc_id", "text", F.col("toxic").cast("double").alias("label")), "texts"))
 
 
 def _text_stages():

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import ctes
 from millrace.functions import numeric, text, weblog
 from millrace.operators import relational as rel
+from millrace.plans.sizing import balanced
 from millrace.registry import query
 from millrace.sources import views
 from millrace.sources.tables import table
@@ -113,7 +114,7 @@ def str2(spark, folder):
 @query("str3_split_whitespace", r"""WITH t AS (SELECT doc_id, unnest(string_split_regex(regexp_replace(text, '\s+$', ''), '\s+')) AS word FROM documents)
   SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id""")
 def str3(spark, folder):
-    d = table(spark, folder, "documents").select("doc_id", "text")
+    d = balanced(table(spark, folder, "documents").select("doc_id", "text"))
     return text.whitespace_tokens(d, "text", "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -19,3 +19,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     execution may still switch to a broadcast once the real size is known.
     """
     return F.broadcast(df) if planned_bytes(df) <= limit else df
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread the rows when the scan has fewer partitions than there are cores.
+
+    For work that is heavy per row (text, vectors, model fits) on a few big files. A scan that
+    already fills the cluster is left alone, so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)

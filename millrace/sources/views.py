@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.text import lines_of, words_of
+from millrace.plans.sizing import balanced
 from millrace.sources.tables import table
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
-    return lines_of(table(spark, folder, "documents"), "text", "doc_id")
+    return lines_of(balanced(table(spark, folder, "documents").select("doc_id", "text")), "text", "doc_id")
 
 
 def words(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,7 +19,7 @@ def words(spark: SparkSession, folder: str) -> DataFrame:
 
 def weblog(spark: SparkSession, folder: str) -> DataFrame:
     """Events written as access-log lines, some without bytes and some broken."""
-    e = table(spark, folder, "events")
+    e = balanced(table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     user = F.when(F.col("user_id") % 10 == 0, F.lit('"-"')).otherwise(
         F.concat(F.lit('"u'), F.col("user_id").cast("string"), F.lit('"')))
     status = F.when(F.col("event_type") == "error", "404").otherwise("200")
