@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.plans.durable import checkpointed, staged
+from millrace.plans.sizing import shuffle_partitions
 from millrace.plans.skew import all_salts, salt_count, salt_of
 
 EDGES_PER_SALT = 1_000_000
@@ -52,7 +53,7 @@ class _Adjacency:
     def __init__(self, links: DataFrame, weight: str | None = None):
         self.weight = weight
         kept = ["dst", weight] if weight else ["dst"]
-        partitions = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = shuffle_partitions(links)
         self.sources = (links.groupBy("src").agg(F.count(F.lit(1)).alias("_out"))
                         .withColumn("_salts", salt_count(F.col("_out"), EDGES_PER_SALT))
                         .persist(StorageLevel.MEMORY_AND_DISK))

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.plans.durable import staged
+from millrace.plans.sizing import shuffle_partitions
 
 BLOCK = "_block"
 
@@ -20,10 +21,14 @@ BLOCK = "_block"
 def range_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """``df`` sorted into written range partitions, numbered in ``_block``.
 
-    The partition count is left to adaptive execution. The copy is written, so a lost
+    The partition count is left to adaptive execution, unless the input is so big that the
+    configured count would make blocks too large for a task. The copy is written, so a lost
     executor cannot change which block a row belongs to.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    wanted = shuffle_partitions(df)
+    enough = wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(*order) if enough else df.repartitionByRange(wanted, *order)
+    ranged = ranged.sortWithinPartitions(*order)
     return staged(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
+PARTITION_BYTES = 256 * 1024 * 1024
+UNKNOWN = 1 << 62
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -12,6 +14,19 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files and tables that ``df`` reads; inputs of unknown size count as 0."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN)
+
+
+def shuffle_partitions(df: DataFrame, per_partition: int = PARTITION_BYTES) -> int:
+    """The configured number of shuffle partitions, or more when the input is too big for it."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, -(-input_bytes(df) // per_partition))
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Hint a broadcast when the size is known to be within ``limit``.
 

@@ -7,7 +7,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", "tests", partitions=4, spark__ui__enabled="false", spark__driver__memory="6g")
+    session = build_session("local[8]", "tests", partitions=3, spark__ui__enabled="false", spark__driver__memory="6g")
     yield session
     session.stop()
 

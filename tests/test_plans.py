@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import graph
 from millrace.plans.durable import shared_folder, staged
-from millrace.plans.sizing import broadcast_if_small, planned_bytes
+from millrace.plans.sizing import broadcast_if_small, input_bytes, planned_bytes, shuffle_partitions
 from millrace.registry import registered
 from millrace.sources.tables import table
 
@@ -53,6 +53,16 @@ def test_broadcast_only_when_small(spark, small):
     assert "ResolvedHint" not in broadcast_if_small(orders, limit=1000)._jdf.queryExecution().analyzed().toString()
 
 
+def test_partitions_grow_with_the_input(spark, small):
+    orders = table(spark, small, "orders")
+    joined = orders.join(table(spark, small, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    assert 0 < input_bytes(orders) < input_bytes(joined) < 1_000_000
+    assert input_bytes(spark.createDataFrame([(1,)], "x int")) == 0
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert shuffle_partitions(orders) == configured
+    assert shuffle_partitions(orders, per_partition=1000) > configured
+
+
 def test_links_do_not_move_between_rounds(spark, small):
     """Without broadcasts, only rank shares are exchanged; the laid-out links are read in place."""
     key = "spark.sql.autoBroadcastJoinThreshold"
