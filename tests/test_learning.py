@@ -37,6 +37,15 @@ def test_nearest_is_exact(spark, cloud, cloud_frame, monkeypatch, block):
         assert sorted(got[q]) == dist
 
 
+def test_equal_queries_share_their_answer(spark, cloud_frame):
+    train, test = cloud_frame.where("id >= 30"), cloud_frame.where("id < 30")
+    rows = neighbours.nearest(train, test, "id", "v", "label", k=4).collect()
+    answers = {}
+    for r in rows:
+        answers.setdefault(r["q"], set()).add((r["t"], r["dist"]))
+    assert set(answers) == set(range(30)) and len({frozenset(a) for a in answers.values()}) == 1
+
+
 def test_knn_with_fewer_rows_than_k(spark, cloud_frame):
     train, test = cloud_frame.where("id < 3"), cloud_frame.where("id = 50")
     assert neighbours.nearest(train, test, "id", "v", "label", k=6).count() == 3
