@@ -11,7 +11,8 @@ Work is kept proportional to the rows, not to the pairs of a group:
 * In the first pass every node of a key is compared with the key's smallest node only, which ties most of a
   group together. Then only nodes of a key that lie in different components are left. The nodes of the key's
   largest component are not compared with each other, and a pair is formed once, at the first small hash that it
-  shares. A sketch of four bits per minimum drops pairs that are far below the limit (4.7 standard deviations).
+  shares. A sketch of 512 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
+  below the limit by four standard deviations.
 * Texts travel to the comparison only for pairs that remain, and joins on a key keep one side splittable.
 
 Defined results: null or wordless text has an empty set, linked with nothing; rows that repeat an id are one
@@ -22,7 +23,6 @@ ignored by ``components`` and kept by ``deduplicate``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -36,8 +36,8 @@ from millrace.plans.durable import staged
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle, percent
 TABLES, ROWS = 16, 3
-SKETCH_BITS = 4
-DEVIATIONS = 4.7
+BINS, PLANES = 512, 5  # of the sketch: which bins are used, and four bits of what is in them
+DEVIATIONS = 4.0
 BLOCK_SHINGLES = 1 << 19
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -85,11 +85,19 @@ def small_hashes(low: np.ndarray, rows: int) -> np.ndarray:
     return keys
 
 
-def bit_sketch(low: np.ndarray) -> np.ndarray:
-    """Four bits of each minimum, packed into 64-bit numbers."""
-    nibbles = mixed(low) & np.uint64(15)
-    padded = np.pad(nibbles, ((0, 0), (0, -nibbles.shape[1] % 16))).reshape(len(low), -1, 16)
-    return (padded << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+def bit_sketch(sets: list[np.ndarray]) -> np.ndarray:
+    """Per set, PLANES bit planes over BINS bins of the hash range: is the bin used, and bits of its smallest hash."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    cell = owner * BINS + (values >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(cell, prepend=-1))  # sets are sorted, so the first of a bin is its smallest
+    code = mixed(values[first])
+    planes = np.zeros((PLANES, len(sets) * BINS), dtype=np.uint8)
+    planes[0, cell[first]] = 1
+    for k in range(1, PLANES):
+        planes[k, cell[first]] = (code >> np.uint64(k)) & np.uint64(1)
+    packed = np.packbits(planes.reshape(PLANES, len(sets), BINS), axis=2)
+    return packed.transpose(1, 0, 2).reshape(len(sets), -1).copy().view("<i8")
 
 
 def signatures(docs: DataFrame, width: int, tables: int = TABLES, rows: int = ROWS, id_column: str = "doc_id",
@@ -102,7 +110,7 @@ def signatures(docs: DataFrame, width: int, tables: int = TABLES, rows: int = RO
             full = [s for _, s in block if len(s)]
             low = minimums(full, 2 * tables * rows) if full else None
             if full:
-                keys, bits = small_hashes(low, rows).view(np.int64), bit_sketch(low).view(np.int64)
+                keys, bits = small_hashes(low, rows).view(np.int64), bit_sketch(full)
             at = 0
             for key, own in block:
                 if len(own):
@@ -116,21 +124,21 @@ def signatures(docs: DataFrame, width: int, tables: int = TABLES, rows: int = RO
                     signed, spread=True)
 
 
-def sketch_limit(percent: int, count: int) -> int:
-    """Differing sketch bits beyond which a pair of the given similarity is 4.7 deviations away."""
-    apart = 1 - percent / 100
-    mean = apart * SKETCH_BITS / 2
-    spread = apart * (SKETCH_BITS / 4 + SKETCH_BITS ** 2 / 4) - mean ** 2
-    return math.ceil(count * mean + DEVIATIONS * math.sqrt(count * spread))
-
+def plausible(a: str, b: str, percent: int) -> Column:
+    """Neither the sizes nor the sketches of two nodes rule out the similarity.
 
-def plausible(a: str, b: str, percent: int, count: int) -> Column:
-    """Neither the sizes nor the sketches of two nodes rule out the similarity."""
-    words = -(-count * SKETCH_BITS // 64)
-    differing = reduce(Column.__add__, [
-        F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(words)])
+    The used bins of either node are a sample without replacement of the union of the two sets; of a pair at the
+    limit the share (100 - percent) of them differs, give or take the sample's deviation.
+    """
+    words, limit = BINS // 64, percent / 100
+    one, two = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    differing = reduce(Column.__add__, [F.bit_count(reduce(Column.bitwiseOR, [
+        one[p * words + i].bitwiseXOR(two[p * words + i]) for p in range(PLANES)])) for i in range(words)])
+    used = reduce(Column.__add__, [F.bit_count(one[i].bitwiseOR(two[i])) for i in range(words)])
     na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (differing <= sketch_limit(percent, count))
+    unseen = F.greatest(F.lit(0.0), 1 - used * (1 + limit) / (na + nb))
+    margin = 1 + DEVIATIONS * F.sqrt(limit * (1 - limit) * used * unseen)
+    return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (differing <= used * (1 - limit) + margin)
 
 
 def similar(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -160,7 +168,6 @@ def similar(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
 def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: int, rows: int,
           id_column: str, text_column: str) -> DataFrame:
     """Confirmed links (src, dst) that connect whatever the similarity connects. ``nodes`` is staged."""
-    count = 2 * tables * rows
     texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("node"), utf8(text_column).alias("text"))
     texts = texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -179,7 +186,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
 
     light = nodes.select("node", "n_shingles", "sketch")
     stars = members.where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
-    tied = _checked(stars, light, texts, width, percent, count)
+    tied = _checked(stars, light, texts, width, percent)
     if tied.isEmpty():
         label = nodes.select(F.col("node").alias("id"), F.col("node").alias("component")).limit(0)
     else:
@@ -200,19 +207,19 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
     same_u, same_v = (F.zip_with(f"a.{c}", f"b.{c}", lambda x, y: x == y) for c in "uv")
     once = F.col("a.key") == F.xxhash64(F.col("a.u")[F.array_position(same_u, True).cast("int") - 1],
                                         F.col("a.v")[F.array_position(same_v, True).cast("int") - 1])
-    close = plausible("a", "b", percent, count) & once
+    close = plausible("a", "b", percent) & once
     pair = [F.col("a.node").alias("src"), F.col("b.node").alias("dst")]
     to_largest = outside.join(rich.where("component = largest").alias("b"), apart & close).select(*pair)
     among = outside.join(rich.where("component <> largest").alias("b"),
                          apart & (F.col("a.component") < F.col("b.component")) & close).select(*pair)
-    return tied.unionByName(_checked(to_largest.unionByName(among).distinct(), None, texts, width, percent, count))
+    return tied.unionByName(_checked(to_largest.unionByName(among).distinct(), None, texts, width, percent))
 
 
-def _checked(pairs: DataFrame, light: DataFrame | None, texts: DataFrame, width: int, percent: int, count: int) -> DataFrame:
+def _checked(pairs: DataFrame, light: DataFrame | None, texts: DataFrame, width: int, percent: int) -> DataFrame:
     if light is not None:
         a, b = light.alias("a"), light.alias("b")
         pairs = (pairs.join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))
-                 .where(plausible("a", "b", percent, count)).select("src", "dst"))
+                 .where(plausible("a", "b", percent)).select("src", "dst"))
     return staged(similar(texts, staged(pairs, "pairs"), width, percent), "links")
 
 
