@@ -18,22 +18,26 @@ from millrace.streaming import feed, learning, stateful
 SHOWN = "yyyy-MM-dd HH:mm:ss"
 
 
-def _decade():
-    """Ten-day slices of January in order of time."""
-    return F.least(F.lit(2), F.floor((F.dayofyear("ts") - 1) / 10)).cast("int")
+def _sliced(df):
+    """Thirds of the whole span of time, in order, however long it is: no slice holds rows older than the one before."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = df.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    low, high = span["low"] or 0, span["high"] or 0
+    return df.withColumn("slice", F.floor((at - F.lit(low)) * 3 / F.lit(high - low + 1)).cast("int"))
 
 
-EVENTS = f"""ev AS (SELECT *, least(2, CAST(floor((dayofyear(ts) - 1) / 10) AS INT)) AS slice FROM events)"""
+EVENTS = """ev AS (SELECT events.*, CAST(floor((epoch_us(ts) - low) * 3 / (high - low + 1)) AS INT) AS slice
+    FROM events, (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events) AS span)"""
 
 
 def _events(spark, folder):
     """Events with a time Spark accepts as event time, and their slice."""
-    e = table(spark, folder, "events").withColumn("slice", _decade())
+    e = _sliced(table(spark, folder, "events"))
     return e.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _views(spark, folder):
-    v = views.page_views(spark, folder).withColumn("slice", _decade())
+    v = _sliced(views.page_views(spark, folder))
     return v.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -30,10 +30,10 @@ def _f_beta(p: Column, r: Column, beta: float) -> Column:
 def threshold_metrics(counts: DataFrame) -> DataFrame:
     """Precision, recall, F1, F0.5 and false positive rate at each threshold."""
     totals = counts.agg(F.max("tp").alias("tp"), F.max("fp").alias("fp")).first()
-    p = F.col("tp") / (F.col("tp") + F.col("fp"))
-    r = F.col("tp") / F.lit(float(totals["tp"]))
+    p = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    r = F.try_divide(F.col("tp"), F.lit(float(totals["tp"] or 0)))
     return counts.select("threshold", "tp", "fp", p.alias("precision"), r.alias("recall"),
-                         (F.col("fp") / F.lit(float(totals["fp"]))).alias("fpr"),
+                         F.try_divide(F.col("fp"), F.lit(float(totals["fp"] or 0))).alias("fpr"),
                          _f_beta(p, r, 1.0).alias("f1"), _f_beta(p, r, 0.5).alias("f05"))
 
 
@@ -96,8 +96,8 @@ def multilabel_metrics(df: DataFrame, predicted: str, actual: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.avg(ratio(b, p)).alias("precision"), F.avg(ratio(b, l)).alias("recall"),
         F.avg(ratio(2 * b, p + l)).alias("f1"), F.avg(ratio(b, p + l - b)).alias("accuracy"),
         F.avg(((b == p) & (b == l)).cast("double")).alias("subset_accuracy"),
-        F.sum(p + l - 2 * b).alias("_wrong"), (F.sum(b) / F.sum(p)).alias("micro_precision"),
-        (F.sum(b) / F.sum(l)).alias("micro_recall"), (2 * F.sum(b) / F.sum(p + l)).alias("micro_f1"),
+        F.sum(p + l - 2 * b).alias("_wrong"), F.try_divide(F.sum(b), F.sum(p)).alias("micro_precision"),
+        F.try_divide(F.sum(b), F.sum(l)).alias("micro_recall"), F.try_divide(2 * F.sum(b), F.sum(p + l)).alias("micro_f1"),
     ).withColumn("hamming_loss", F.col("_wrong") / (F.col("n") * kinds)).drop("_wrong")
 
 
@@ -144,7 +144,7 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, *groups: str)
     sums = df.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.pow(y - p, 2)).alias("mse"), F.avg(F.abs(y - p)).alias("mae"),
         F.var_pop(y).alias("_vy"), F.avg(y).alias("_my"), F.avg(p).alias("_mp"), F.var_pop(p).alias("_vp"))
-    return sums.select(*groups, "n", "mse", F.sqrt("mse").alias("rmse"), "mae", (1 - F.col("mse") / F.col("_vy")).alias("r2"),
+    return sums.select(*groups, "n", "mse", F.sqrt("mse").alias("rmse"), "mae", (1 - F.try_divide(F.col("mse"), F.col("_vy"))).alias("r2"),
                        (F.col("_vp") + F.pow(F.col("_mp") - F.col("_my"), 2)).alias("explained_variance"))
 
 

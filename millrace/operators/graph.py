@@ -95,12 +95,15 @@ def pagerank_links(links: DataFrame, iterations: int = 10, damping: float = 0.85
 
 def pagerank(edges: DataFrame, iterations: int | None = 10, tolerance: float = 0.001,
              reset: float = 0.15, cut_every: int = 5, max_rounds: int = 200) -> DataFrame:
-    """Ranks of every vertex: a fixed number of rounds, or until no rank moves by ``tolerance``."""
+    """Ranks of every vertex: a fixed number of rounds, or until no rank moves by ``tolerance``.
+
+    Ranks that still move after ``max_rounds`` are an error, not a result.
+    """
     kept = staged(edges.select("src", "dst"), "links")
     graph = _Adjacency(kept)
     everyone = staged(vertices_of(kept), "vertices")
     ranks = everyone.withColumn("rank", F.lit(1.0))
-    rounds = iterations or max_rounds
+    rounds = max_rounds if iterations is None else iterations
     for i in range(1, rounds + 1):
         new = everyone.join(graph.received(ranks), "id", "left").select(
             "id", (F.lit(reset) + F.lit(1 - reset) * F.coalesce("_in", F.lit(0.0))).alias("rank"))
@@ -113,6 +116,9 @@ def pagerank(edges: DataFrame, iterations: int | None = 10, tolerance: float = 0
                 break
         else:
             ranks = checkpointed(new) if i % cut_every == 0 or i == rounds else new
+    else:
+        if iterations is None:
+            raise RuntimeError(f"ranks still move by {moved} after {max_rounds} rounds; raise max_rounds or tolerance")
     graph.release()
     return ranks
 

@@ -57,7 +57,7 @@ def in_memory_table(spark: SparkSession, rows: Iterable[tuple], schema: str) ->
 def file_inventory(spark: SparkSession, root: str, name_contains: str = "") -> DataFrame:
     """Every file below ``root`` whose name contains the text. File contents are not read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", f"*{name_contains}*").load(root)
+            .load(root).where(F.element_at(F.split("path", "/"), -1).contains(name_contains))
             .select("path", "length", "modificationTime"))
 
 

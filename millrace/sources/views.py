@@ -64,7 +64,7 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     l = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return (l.join(o, l.l_orderkey == o.o_orderkey)
-            .groupBy(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"))
+            .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
             .agg((F.avg("l_quantity") / 10).alias("rating")))
 
 

@@ -82,8 +82,8 @@ def welch(groups: DataFrame, group: str) -> DataFrame:
     side = lambda flag, c: F.max(F.when(F.col(group) == flag, F.col(c)))
     one = groups.agg(*[side(flag, c).alias(f"{c}{i}") for i, flag in enumerate((False, True)) for c in ("n", "mean", "variance")])
     a, b = F.col("variance0") / F.col("n0"), F.col("variance1") / F.col("n1")
-    return one.select("n0", "n1", ((F.col("mean1") - F.col("mean0")) / F.sqrt(a + b)).alias("t"),
-                      (F.pow(a + b, 2) / (F.pow(a, 2) / (F.col("n0") - 1) + F.pow(b, 2) / (F.col("n1") - 1))).alias("df"))
+    return one.select("n0", "n1", F.try_divide(F.col("mean1") - F.col("mean0"), F.sqrt(a + b)).alias("t"),
+                      F.try_divide(F.pow(a + b, 2), F.try_divide(F.pow(a, 2), F.col("n0") - 1) + F.try_divide(F.pow(b, 2), F.col("n1") - 1)).alias("df"))
 
 
 def p_value(spark: SparkSession, t: float, df: float) -> float:
