@@ -28,8 +28,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 # Rule: numerator, denominator, factor, slack above, slack below (None: no lower limit).
 RULES = {
     "symbols": ("n_symbols", "word_chars", 1000, 50, None),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 100, None),
-    "repeats": ("n_repeat_words", "n_words", 1000, 150, None),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, None),
+    "repeats": ("n_repeat_words", "n_words", 1000, 300, None),
     "upper": ("n_upper", "word_chars", 1000, 100, None),
     "word_length": ("word_chars", "n_words", 10, 10, 10),
 }
