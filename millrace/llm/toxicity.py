@@ -144,8 +144,6 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], sam
     def fitted(rows: Iterator[tuple]) -> Iterator[tuple]:
         own = list(rows)
         if not own:
-            for _ in categories:
-                yield None, None, 0.0, 0.0
             return
         bounds = np.concatenate([[0], np.cumsum([len(r[1]) for r in own])])
         columns = np.fromiter(chain.from_iterable(r[1] for r in own), np.int64, bounds[-1])
@@ -160,8 +158,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], sam
     ordered = sampled.repartition(1).sortWithinPartitions(F.xxhash64("_id"), "_id")
     models = map_rows(ordered, [F.col("_id"), F.col("columns"), F.col("labels"), F.pmod(F.xxhash64(F.col("_id"), F.lit("fold")), F.lit(folds))],
                       "words binary, earlier array<double>, intercept double, constant double", fitted).collect()
-    return [Link(None if m["words"] is None else np.frombuffer(m["words"], np.float32),
-                 None if m["earlier"] is None else np.array(m["earlier"]), m["intercept"], m["constant"]) for m in models]
+    links = [Link(None if m["words"] is None else np.frombuffer(m["words"], np.float32),
+                  None if m["earlier"] is None else np.array(m["earlier"]), m["intercept"], m["constant"]) for m in models]
+    return links or [Link(constant=0.0) for _ in categories]  # no task ran: there was no labelled document
 
 
 def score(docs: DataFrame, links: Sequence[Link], categories: Sequence[str], id_column: str = "doc_id",
