@@ -89,4 +89,13 @@ QUERIES = {fn.__name__: _prepared(fn) for fn in (
     op1_token_counts, op2_toxicity, op3_sharding, op4_near_dup, op5_decontaminate, op6_pii, op7_quality, op8_chat, op9_packing,
     op10_html_text)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_sharding": f"""
+        WITH k AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+            lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT)), 48, '0') AS bits FROM documents),
+        p AS (SELECT doc_id, n_bytes, left(bits, CAST(d AS INT)) AS shard, CAST(d AS INT) AS local_depth FROM k, range(0, 49) AS r(d)),
+        s AS (SELECT shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes FROM p GROUP BY 1),
+        f AS (SELECT p.*, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY local_depth) AS n
+            FROM p JOIN s USING (shard) WHERE shard_bytes <= {sharding.SHARD_BYTES})
+        SELECT doc_id, n_bytes, shard, local_depth, shard_bytes, true AS fits FROM f WHERE n = 1""",
+}
