@@ -355,6 +355,6 @@ def gen1(spark, folder):
 def gen2(spark, folder):
     """A log-normal graph over the customers; vertices per out-degree."""
     c = table(spark, folder, "customer")
-    edges = sampling.lognormal_edges(c, "c_custkey", c.agg(F.count(F.lit(1))).scalar(), mu=2.0, sigma=1.0, seed=9)
+    edges = sampling.lognormal_edges(c, "c_custkey", c.agg(F.count(F.lit(1))).scalar(), mu=4.0, sigma=1.3, seed=9)
     return (edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
             .groupBy("degree").agg(row_count()))

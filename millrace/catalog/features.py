@@ -82,7 +82,7 @@ def fea5(spark, folder):
   SELECT term, df AS n, round(ln((m + 1) / (df + 1)), 6) AS idf, round(df * ln((m + 1) / (df + 1)), 2) AS total FROM df, m""")
 def fea6(spark, folder):
     b = views.baskets(spark, folder)
-    model = Pipeline(stages=[ft.CountVectorizer(inputCol="items", outputCol="tf"),
+    model = Pipeline(stages=[ft.CountVectorizer(inputCol="items", outputCol="tf", vocabSize=features.term_count(b, "items")),
                              ft.IDF(inputCol="tf", outputCol="w")]).fit(b)
     rows = features.term_rows(model.transform(b), "w", model.stages[0].vocabulary)
     return rows.groupBy("term").agg(row_count(), F.round(F.max("weight"), 6).alias("idf"), F.round(F.sum("weight"), 2).alias("total"))
@@ -98,10 +98,10 @@ def fea7(spark, folder):
     return features.term_rows(model.transform(raw), "f", vocabulary, "doc_id")
 
 
-@query("fea7_learned_vocabulary", f"""WITH {ctes.BASKETS} SELECT item AS term, count(*) AS n FROM baskets GROUP BY item""")
+@query("fea7_learned_vocabulary", f"""WITH {ctes.BASKETS} SELECT item AS term, count(*) AS n FROM baskets GROUP BY item HAVING count(*) >= 2""")
 def fea7_learned(spark, folder):
     b = views.baskets(spark, folder)
-    model = ft.CountVectorizer(inputCol="items", outputCol="f", vocabSize=1000, minDF=2).fit(b)
+    model = ft.CountVectorizer(inputCol="items", outputCol="f", vocabSize=features.term_count(b, "items"), minDF=2).fit(b)
     return features.term_rows(model.transform(b), "f", model.vocabulary).groupBy("term").agg(row_count())
 
 
@@ -109,7 +109,7 @@ def fea7_learned(spark, folder):
 def fea8(spark, folder):
     raw = ft.RegexTokenizer(inputCol="text", outputCol="t", pattern=r"\W").transform(_docs(spark, folder))
     parts = spark.sparkContext.defaultParallelism
-    model = ft.Word2Vec(vectorSize=3, minCount=5, seed=1, maxIter=1, numPartitions=parts, inputCol="t", outputCol="v").fit(raw)
+    model = ft.Word2Vec(vectorSize=3, minCount=0, seed=1, maxIter=1, numPartitions=parts, inputCol="t", outputCol="v").fit(raw)
     return spread(model.transform(raw), "v", ["v0", "v1", "v2"], "doc_id")
 
 
@@ -131,8 +131,7 @@ def fea10(spark, folder):
   SELECT c_custkey, CAST((c_acctbal >= q[1])::INT + (c_acctbal >= q[2])::INT + (c_acctbal >= q[3])::INT AS DOUBLE) AS bucket FROM customer, q""")
 def fea11(spark, folder):
     c = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
-    model = ft.QuantileDiscretizer(numBuckets=4, relativeError=0.0, inputCol="c_acctbal", outputCol="bucket").fit(c)
-    return model.transform(c).select("c_custkey", "bucket")
+    return features.quantile_buckets(c, "c_acctbal", ["c_acctbal", "c_custkey"], 4, "bucket").select("c_custkey", "bucket")
 
 
 _INDEX = """ix AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS DOUBLE) AS idx FROM part GROUP BY p_brand)"""
@@ -236,10 +235,10 @@ def fea23(spark, folder):
 
 @query("fea24_pca")
 def fea24(spark, folder):
-    """Absolute coordinates: the sign of a component is free."""
+    """Coordinates; a component's largest loading is positive."""
     projected, _ = linear.principal_components(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding", 3)
     a = vector_to_array("projected")
-    return projected.select("vec_id", *[F.round(F.abs(a[i]), 4).alias(f"c{i}") for i in range(3)])
+    return projected.select("vec_id", *[F.round(a[i], 4).alias(f"c{i}") for i in range(3)])
 
 
 @query("fea25_chi_square_selector", """WITH f AS (SELECT l_returnflag AS lab, unnest(['l_linenumber', 'l_quantity', 'l_tax']) AS name,
@@ -313,5 +312,5 @@ def fea32(spark, folder):
 @query("fea33_text_corpus", f"""WITH {_GAPS} SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row, doc_id,
   len(list_distinct(list_filter(t, lambda w: w NOT IN ('the','of','and','is','de','la')))) AS terms FROM tok""")
 def fea33(spark, folder):
-    corpus, _ = features.text_corpus(_docs(spark, folder), "doc_id", "text", 1 << 18, STOP)
+    corpus, _ = features.text_corpus(_docs(spark, folder), "doc_id", "text", None, STOP)
     return corpus.select("row", "doc_id", F.size(features.active_entries("features")).cast("bigint").alias("terms"))

@@ -66,34 +66,34 @@ def _regress(estimator, points, key):
 _GD_COLS = ["x0", "x2", "x3"]
 _GD = ", ".join(f"w{i} AS MATERIALIZED (SELECT " + ", ".join(
     f"any_value(w.a{j}) - sum(c.{x} * (1 / (1 + exp(-c.y * (w.a0 * c.x0 + w.a1 * c.x2 + w.a2 * c.x3))) - 1) * c.y) AS a{j}" for j, x in enumerate(_GD_COLS))
-    + f" FROM p c, w{i - 1} w)" for i in range(1, 4))
+    + f" FROM p c, w{i - 1} w)" for i in range(1, 6))
 
 
 @query("cls1_logistic_gradient_descent", f"""WITH {ctes.LABELLED}, p AS (SELECT (x0 - 0.5) / 1000 AS x0, (x2 - 0.5) / 1000 AS x2, (x3 - 0.4) / 1000 AS x3,
   CASE WHEN x1 > 0.3 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y FROM labelled), w0 AS (SELECT 0.0::DOUBLE AS a0, 0.0::DOUBLE AS a1, 0.0::DOUBLE AS a2), {_GD}
-  SELECT round(a0, 5) AS w0, round(a1, 5) AS w1, round(a2, 5) AS w2 FROM w3""")
+  SELECT round(a0, 5) AS w0, round(a1, 5) AS w1, round(a2, 5) AS w2 FROM w5""")
 def cls1(spark, folder):
     p = views.labelled_lines(spark, folder).select(
         ((F.col("x0") - 0.5) / 1000).alias("x0"), ((F.col("x2") - 0.5) / 1000).alias("x2"), ((F.col("x3") - 0.4) / 1000).alias("x3"),
         F.when(F.col("x1") > 0.3, 1.0).otherwise(-1.0).alias("y"))
-    w = models.logistic_gradient_descent(p, _GD_COLS, "y", iterations=3)
+    w = models.logistic_gradient_descent(p, _GD_COLS, "y", iterations=5)
     return spark.createDataFrame([tuple(round(x, 5) for x in w)], "w0 double, w1 double, w2 double")
 
 
 @query("cls2_logistic_regression")
 def cls2(spark, folder):
-    return _fit_score(cl.LogisticRegression(maxIter=20, regParam=0.01, elasticNetParam=0.5, tol=1e-6), _binary(spark, folder), _KEY)
+    return _fit_score(cl.LogisticRegression(maxIter=100, regParam=0.01, elasticNetParam=0.5, tol=1e-6), _binary(spark, folder), _KEY)
 
 
 @query("cls2_multinomial")
 def cls2_multi(spark, folder):
-    return _fit_score(cl.LogisticRegression(maxIter=20, regParam=0.01, family="multinomial"), _points(spark, folder), ["vec_id"])
+    return _fit_score(cl.LogisticRegression(maxIter=100, regParam=0.01, family="multinomial"), _points(spark, folder), ["vec_id"])
 
 
 @query("cls3_logistic_raw_scores")
 def cls3(spark, folder):
     train, test = sampling.hash_split(_binary(spark, folder), _KEY, 70)
-    model = cl.LogisticRegression(maxIter=20, regParam=0.1, elasticNetParam=0.0, fitIntercept=True).fit(train)
+    model = cl.LogisticRegression(maxIter=100, regParam=0.1, elasticNetParam=0.0, fitIntercept=True).fit(train)
     raw = model.transform(test).select(F.round(vector_to_array("rawPrediction")[1], 6).alias("score"), "label")
     return ev.curve_areas(ev.threshold_metrics(ev.threshold_counts(raw, "score", "label")))
 
@@ -108,9 +108,16 @@ def cls4(spark, folder):
         "auc", F.lit(model.summary.areaUnderROC)).withColumn("threshold", F.lit(best["threshold"])).withColumn("best_f", F.lit(best["f"]))
 
 
+@query("cls4_roc")
+def cls4_roc(spark, folder):
+    """False and true positive rate at each threshold of a fitted model."""
+    summary = cl.LogisticRegression(maxIter=10, regParam=0.01).fit(_binary(spark, folder)).summary
+    return summary.roc.select(F.col("FPR").alias("fpr"), F.col("TPR").alias("tpr"))
+
+
 @query("cls5_linear_svm")
 def cls5(spark, folder):
-    return _fit_score(cl.LinearSVC(maxIter=10, regParam=0.01), _binary(spark, folder), _KEY)
+    return _fit_score(cl.LinearSVC(maxIter=100, regParam=0.01), _binary(spark, folder), _KEY)
 
 
 @query("cls6_naive_bayes", f"WITH {ctes.NAIVE_BAYES} SELECT label, round(prior, 6) AS prior, round(t0, 6) AS t0, round(t1, 6) AS t1, round(t2, 6) AS t2, round(t3, 6) AS t3 FROM t")
@@ -142,19 +149,19 @@ def cls8(spark, folder):
 
 @query("cls9_gradient_boosted_trees")
 def cls9(spark, folder):
-    return _fit_score(cl.GBTClassifier(maxIter=5, maxDepth=4, seed=1), _binary(spark, folder), _KEY)
+    return _fit_score(cl.GBTClassifier(maxIter=10, maxDepth=5, seed=1), _binary(spark, folder), _KEY)
 
 
 @query("cls10_multilayer_perceptron")
 def cls10(spark, folder):
     l = assemble(balanced(views.labelled_lines(spark, folder)), X)
-    return _fit_score(cl.MultilayerPerceptronClassifier(layers=[4, 5, 4, 3], blockSize=128, seed=1234, maxIter=20), l, _KEY)
+    return _fit_score(cl.MultilayerPerceptronClassifier(layers=[4, 5, 4, 3], blockSize=128, seed=1234, maxIter=100), l, _KEY)
 
 
 @query("cls11_one_vs_rest")
 def cls11(spark, folder):
     train, test = sampling.hash_split(_points(spark, folder), ["vec_id"], 80)
-    model = cl.OneVsRest(classifier=cl.LogisticRegression(maxIter=10, tol=1e-6), parallelism=4).fit(train)
+    model = cl.OneVsRest(classifier=cl.LogisticRegression(maxIter=100, tol=1e-6), parallelism=4).fit(train)
     return ev.class_metrics(ev.confusion(model.transform(test), "label", "prediction"))
 
 
@@ -193,7 +200,7 @@ def reg1_two(spark, folder):
 
 @query("reg1_elastic_net")
 def reg1_elastic(spark, folder):
-    return _regress(rg.LinearRegression(maxIter=50, regParam=0.01, elasticNetParam=0.8, tol=1e-6), _priced(spark, folder), _KEY)
+    return _regress(rg.LinearRegression(maxIter=100, regParam=0.01, elasticNetParam=0.8, tol=1e-6), _priced(spark, folder), _KEY)
 
 
 @query("reg2_decision_tree")
@@ -208,7 +215,7 @@ def reg3(spark, folder):
 
 @query("reg4_gradient_boosted_trees")
 def reg4(spark, folder):
-    return _regress(rg.GBTRegressor(maxIter=5, maxDepth=4, seed=1), _priced(spark, folder), _KEY)
+    return _regress(rg.GBTRegressor(maxIter=10, maxDepth=5, seed=1), _priced(spark, folder), _KEY)
 
 
 @query("reg5_isotonic", f"""WITH g AS (SELECT l_quantity AS x, avg(l_discount * 10) AS m, count(*) AS w FROM lineitem GROUP BY 1),
@@ -238,7 +245,7 @@ def reg6(spark, folder):
 @query("rec1_als_explicit")
 def rec1(spark, folder):
     train, test = sampling.hash_split(views.ratings(spark, folder), ["user", "item"], 80)
-    model = ALS(rank=10, maxIter=5, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop", seed=1).fit(train)
+    model = ALS(rank=10, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", coldStartStrategy="drop", seed=1).fit(train)
     return ev.regression_metrics(model.transform(test), "rating", "prediction")
 
 
@@ -246,7 +253,7 @@ def rec1(spark, folder):
 def rec2(spark, folder):
     shifted = views.ratings(spark, folder).withColumn("conf", F.col("rating") - 2.5)
     train, test = sampling.hash_split(shifted, ["user", "item"], 80)
-    model = ALS(rank=10, maxIter=5, regParam=1.0, implicitPrefs=True, userCol="user", itemCol="item", ratingCol="conf", coldStartStrategy="drop", seed=1,
+    model = ALS(rank=10, maxIter=20, regParam=1.0, implicitPrefs=True, userCol="user", itemCol="item", ratingCol="conf", coldStartStrategy="drop", seed=1,
                 numUserBlocks=8, numItemBlocks=8).fit(train)
     truth = model.transform(test).select(numeric.binarise(F.col("conf")).alias("label"), numeric.clamp(F.col("prediction").cast("double")).alias("prediction"))
     return ev.regression_metrics(truth, "label", "prediction")
@@ -254,7 +261,7 @@ def rec2(spark, folder):
 
 @query("rec3_top_items_for_users")
 def rec3(spark, folder):
-    model = ALS(rank=8, maxIter=3, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
+    model = ALS(rank=8, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
     return model.recommendForAllUsers(10).select("user", F.posexplode("recommendations").alias("pos", "r")).select(
         "user", (F.col("pos") + 1).alias("rank"), "r.item", "r.rating")
 
@@ -296,20 +303,40 @@ def clu2(spark, folder):
     return model.transform(p).groupBy("prediction").agg(row_count()).withColumn("cost", F.lit(model.summary.trainingCost))
 
 
+@query("clu2_kmeans_random_start")
+def clu2_random(spark, folder):
+    """Centres, sizes and cost from a random start."""
+    model = cu.KMeans(k=10, initMode="random", maxIter=10, seed=1).fit(_points(spark, folder))
+    rows = [(i, int(n), [float(v) for v in c]) for i, (n, c) in enumerate(zip(model.summary.clusterSizes, model.clusterCenters()))]
+    return spark.createDataFrame(rows, "cluster int, n bigint, centre array<double>").withColumn("cost", F.lit(model.summary.trainingCost))
+
+
 @query("clu3_bisecting_kmeans")
 def clu3(spark, folder):
     p = _points(spark, folder)
-    model = cu.BisectingKMeans(k=6, maxIter=5, seed=1).fit(p)
-    return model.transform(p).groupBy("prediction").agg(row_count())
+    model = cu.BisectingKMeans(k=6, maxIter=20, seed=1).fit(p)
+    rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    centres = spark.createDataFrame(rows, "prediction int, centre array<double>")
+    sizes = model.transform(p).groupBy("prediction").agg(row_count())
+    return sizes.join(centres, "prediction").withColumn("cost", F.lit(model.summary.trainingCost))
 
 
 @query("clu4_gaussian_mixture")
 def clu4(spark, folder):
     l = assemble(balanced(views.labelled_lines(spark, folder)), X)
-    model = cu.GaussianMixture(k=3, maxIter=5, seed=1).fit(l)
+    model = cu.GaussianMixture(k=3, maxIter=100, seed=1).fit(l)
     return model.transform(l).groupBy("prediction").agg(row_count(), F.avg(F.array_max(vector_to_array("probability"))).alias("sureness"))
 
 
+@query("clu4_mixture_parameters")
+def clu4_parameters(spark, folder):
+    """Weight, mean and covariance of each component."""
+    model = cu.GaussianMixture(k=3, maxIter=100, seed=1).fit(assemble(balanced(views.labelled_lines(spark, folder)), X))
+    rows = [(i, float(w), [float(v) for v in g.mean.toArray()], [[float(v) for v in row] for row in g.cov.toArray()])
+            for i, (w, g) in enumerate(zip(model.weights, model.gaussians))]
+    return spark.createDataFrame(rows, "component int, weight double, mean array<double>, covariance array<array<double>>")
+
+
 @query("clu5_power_iteration")
 def clu5(spark, folder):
     """Two groups of events from the Gaussian similarity of neighbours in value order."""
@@ -323,14 +350,14 @@ def clu5(spark, folder):
 def _corpus(spark, folder):
     """Counted terms, written once because every round of a fit reads them."""
     docs = balanced(table(spark, folder, "documents").select("doc_id", "text"))
-    corpus, vocabulary = text_corpus(docs, "doc_id", "text", 2000, ["the", "of", "and", "is", "de", "la"])
+    corpus, vocabulary = text_corpus(docs, "doc_id", "text", 10_000, ["the", "of", "and", "is", "de", "la"])
     return balanced(staged(corpus, "corpus")), vocabulary
 
 
 @query("clu6_lda_online")
 def clu6(spark, folder):
     corpus, vocabulary = _corpus(spark, folder)
-    model = cu.LDA(k=5, maxIter=3, optimizer="online", seed=1).fit(corpus)
+    model = cu.LDA(k=20, maxIter=10, optimizer="online", seed=1).fit(corpus)
     weights = F.inline(F.arrays_zip("termIndices", "termWeights"))
     topics = model.describeTopics(5).select("topic", weights).withColumnsRenamed({"termIndices": "pos", "termWeights": "weight"})
     return topics.join(vocabulary_table(spark, vocabulary), "pos").select("topic", "term", "weight")
@@ -339,7 +366,7 @@ def clu6(spark, folder):
 @query("clu6_lda_em")
 def clu6_em(spark, folder):
     corpus, _ = _corpus(spark, folder)
-    model = cu.LDA(k=5, maxIter=3, optimizer="em", seed=1).fit(corpus)
+    model = cu.LDA(k=20, maxIter=10, optimizer="em", seed=1).fit(corpus)
     best = F.array_position(vector_to_array("topicDistribution"), F.array_max(vector_to_array("topicDistribution"))) - 1
     return model.transform(corpus).groupBy(best.alias("topic")).agg(row_count()).withColumn("log_likelihood", F.lit(model.logLikelihood(corpus))).withColumn(
         "log_perplexity", F.lit(model.logPerplexity(corpus)))
@@ -366,13 +393,13 @@ def fpm2(spark, folder):
     return rules.select(F.array_join("antecedent", ",").alias("antecedent"), "consequent", F.round("confidence", 6).alias("confidence"))
 
 
-@query("fpm3_sequential_patterns", f"""WITH {ctes.PRIORITY_YEARS}, m AS (SELECT ceil(0.5 * count(DISTINCT o_custkey)) AS least FROM py),
-  s AS (SELECT item AS sequence, o_custkey AS k FROM py UNION
-  SELECT a.item || '+' || b.item, a.o_custkey FROM py a JOIN py b ON a.o_custkey = b.o_custkey AND a.yr = b.yr AND a.item < b.item UNION
-  SELECT a.item || '>' || b.item, a.o_custkey FROM py a JOIN py b ON a.o_custkey = b.o_custkey AND a.yr < b.yr)
-  SELECT sequence, count(*) AS freq FROM s GROUP BY sequence HAVING count(*) >= (SELECT least FROM m)""")
+@query("fpm3_sequential_patterns", f"""WITH RECURSIVE {ctes.PRIORITY_YEARS}, m AS (SELECT ceil(0.5 * count(DISTINCT o_custkey)) AS least FROM py),
+  r AS (SELECT o_custkey AS k, yr, item, item AS sequence, 1 AS length FROM py UNION
+  SELECT r.k, py.yr, py.item, r.sequence || CASE WHEN py.yr = r.yr THEN '+' ELSE '>' END || py.item, r.length + 1
+    FROM r JOIN py ON py.o_custkey = r.k AND (py.yr > r.yr OR py.yr = r.yr AND py.item > r.item) WHERE r.length < 5)
+  SELECT sequence, count(DISTINCT k) AS freq FROM r GROUP BY sequence HAVING count(DISTINCT k) >= (SELECT least FROM m)""")
 def fpm3(spark, folder):
-    found = patterns.sequential_patterns(views.priority_years(spark, folder), "sequence", 0.5, 2)
+    found = patterns.sequential_patterns(views.priority_years(spark, folder), "sequence", 0.5, 5)
     return found.select(F.array_join(F.transform("sequence", lambda s: F.array_join(s, "+")), ">").alias("sequence"), "freq")
 
 

@@ -42,9 +42,11 @@ def lin2(spark, folder):
 
 @query("lin3_principal_components")
 def lin3(spark, folder):
-    """Loadings of the first components; each is given the sign that makes its largest loading positive."""
-    _, pc = linear.principal_components(table(spark, folder, "embeddings"), "embedding", 4)
-    rows = [(int(d), int(k), float(abs(pc[d, k]))) for d in range(pc.shape[0]) for k in range(pc.shape[1])]
+    """Loadings of all components; each is given the sign that makes its largest loading positive."""
+    e = table(spark, folder, "embeddings")
+    width = e.agg(F.max(F.size("embedding"))).first()[0]
+    _, pc = linear.principal_components(e, "embedding", width)
+    rows = [(int(d), int(k), float(pc[d, k])) for d in range(pc.shape[0]) for k in range(pc.shape[1])]
     return spark.createDataFrame(rows, "dimension int, component int, loading double")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, VectorAssembler
@@ -53,16 +54,40 @@ def reindex_labels(df: DataFrame, label: str, name: str = "label_index") -> Data
     return df.join(row_index(classes, [label], name), label)
 
 
-def text_corpus(docs: DataFrame, identity: str, text: str, vocabulary: int,
+def term_count(df: DataFrame, words: str) -> int:
+    """How many distinct terms there are, at least one: the vocabulary that drops nothing."""
+    terms = df.select(F.explode(words).alias("term")).where(F.col("term").isNotNull())
+    return max(1, terms.agg(F.count_distinct("term")).first()[0])
+
+
+def text_corpus(docs: DataFrame, identity: str, text: str, vocabulary: int | None = None,
                 stop_words: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
-    """Tokenise, drop stop words, count terms and number the documents."""
-    stages = Pipeline(stages=[
+    """Tokenise, drop stop words, count terms and number the documents.
+
+    ``vocabulary`` keeps that many of the most frequent terms, None keeps all of them.
+    """
+    tokens = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="raw_tokens", pattern=r"\W"),
-        StopWordsRemover(inputCol="raw_tokens", outputCol="tokens", stopWords=list(stop_words)),
-        CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocabulary)])
-    model = stages.fit(docs)
-    numbered = row_index(model.transform(docs).select(identity, "features"), [identity], "row")
-    return numbered, model.stages[-1].vocabulary
+        StopWordsRemover(inputCol="raw_tokens", outputCol="tokens", stopWords=list(stop_words))]).fit(docs).transform(docs)
+    size = term_count(tokens, "tokens") if vocabulary is None else vocabulary
+    model = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=size).fit(tokens)
+    numbered = row_index(model.transform(tokens).select(identity, "features"), [identity], "row")
+    return numbered, model.vocabulary
+
+
+def quantile_buckets(df: DataFrame, column: str, order: Sequence[str], buckets: int, name: str) -> DataFrame:
+    """Buckets between exact quantiles, read off the positions in ``order`` (a total order that begins with the column).
+
+    Null and NaN values take no part in the quantiles and have a null bucket.
+    """
+    valid = df.where(F.col(column).isNotNull() & ~F.isnan(column))
+    total = valid.count()
+    cuts = sorted({-(-total * i // buckets) - 1 for i in range(1, buckets)} - {-1})
+    found = row_index(valid.select(*order), order, "_at").where(F.col("_at").isin(cuts)).select(column).distinct()
+    bounds = sorted(r[0] for r in found.collect())  # at most one per bucket
+    above = [F.when(F.col(column) >= b, 1.0).otherwise(0.0) for b in bounds]
+    bucket = reduce(Column.__add__, above, F.lit(0.0))
+    return df.withColumn(name, F.when(F.col(column).isNotNull() & ~F.isnan(column), bucket))
 
 
 def active_entries(vector: str) -> Column:

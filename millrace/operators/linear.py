@@ -6,8 +6,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
+from pyspark.ml.feature import PCA, ElementwiseProduct
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame, functions as F
 
@@ -69,9 +70,14 @@ def singular_values(df: DataFrame, array: str) -> DataFrame:
 
 
 def principal_components(df: DataFrame, array: str, k: int) -> tuple[DataFrame, np.ndarray]:
+    """Projected rows and loadings. A component's sign is free; here its largest loading is positive."""
     points = df.withColumn("_v", array_to_vector(array))
     model = PCA(k=k, inputCol="_v", outputCol="projected").fit(points)
-    return model.transform(points).drop("_v"), model.pc.toArray()
+    pc = model.pc.toArray()
+    signs = np.sign(pc[np.abs(pc).argmax(axis=0), np.arange(pc.shape[1])])
+    flipped = ElementwiseProduct(scalingVec=Vectors.dense(signs), inputCol="_p", outputCol="projected")
+    projected = flipped.transform(model.transform(points).withColumnRenamed("projected", "_p"))
+    return projected.drop("_v", "_p"), pc * signs
 
 
 def column_summary(df: DataFrame, columns: Sequence[str], *groups: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -36,10 +37,24 @@ def _local_state_partitions(spark: SparkSession):
 
 
 class BatchTable:
-    """A folder of batches. ``write`` is idempotent, ``read`` returns all batches with their number."""
+    """A folder of batches. ``write`` is idempotent, ``read`` returns all batches with their number.
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.path, self.schema = spark, fresh_path(spark, label), None
+    Given the folder of an earlier run, it goes on with what is there.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, folder: str | None = None):
+        self.spark, self.path = spark, f"{folder}/{label}" if folder else fresh_path(spark, label)
+        self.schema = self._stored() if folder else None
+
+    def _stored(self) -> StructType | None:
+        """The schema of the batches that an earlier run has written."""
+        try:
+            found = self.spark.read.parquet(self.path).schema
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        return StructType([f for f in found.fields if f.name != "batch"])
 
     def write(self, df: DataFrame, batch: int) -> None:
         self.schema = df.schema
@@ -52,6 +67,11 @@ class BatchTable:
         whole = self.spark.read.schema(StructType(self.schema.fields).add("batch", IntegerType())).parquet(self.path)
         return whole if before is None else whole.where(F.col("batch") < before)
 
+    def only(self, batch: int) -> DataFrame | None:
+        """What one batch wrote, without its number."""
+        whole = self.read()
+        return None if whole is None or batch < 0 else whole.where(F.col("batch") == batch).drop("batch")
+
     def latest(self, keys: Iterable[str]) -> DataFrame:
         """The newest row of every key."""
         keys = list(keys)
@@ -62,11 +82,16 @@ class BatchTable:
 
 
 class Replay:
-    """Feeds one or more inputs in slices to a streaming query."""
+    """Feeds one or more inputs in slices to a streaming query.
+
+    With a ``folder`` the inputs and the checkpoint lie there, and a later run on it, begun at slice ``first``,
+    goes on where the last one stopped.
+    """
 
-    def __init__(self, spark: SparkSession, inputs: dict[str, DataFrame], slice_column: str = "slice", slices: int = 3):
+    def __init__(self, spark: SparkSession, inputs: dict[str, DataFrame], slice_column: str = "slice", slices: int = 3,
+                 folder: str | None = None, first: int = 0):
         self.spark, self.inputs, self.slice_column, self.slices = spark, inputs, slice_column, slices
-        self.root = fresh_path(spark, "stream")
+        self.root, self.first = f"{folder}/stream" if folder else fresh_path(spark, "stream"), first
 
     def stream(self, name: str) -> DataFrame:
         return file_stream(self.spark, f"{self.root}/in-{name}", self.inputs[name].schema)
@@ -76,7 +101,7 @@ class Replay:
 
         ``build`` makes the streaming result from the input streams, ``each`` handles a batch.
         """
-        for s in range(self.slices):
+        for s in range(self.first, self.slices):
             for name, df in self.inputs.items():
                 df.where(F.col(self.slice_column) == s).write.mode("append").parquet(f"{self.root}/in-{name}")
             with _local_state_partitions(self.spark):

@@ -19,8 +19,8 @@ from millrace.streaming.feed import BatchTable, Replay
 class _Parameters:
     """A short list of numbers per batch."""
 
-    def __init__(self, spark: SparkSession, start: Sequence[float]):
-        self.spark, self.start, self.table = spark, [float(x) for x in start], BatchTable(spark, "parameters")
+    def __init__(self, spark: SparkSession, start: Sequence[float], folder: str | None = None):
+        self.spark, self.start, self.table = spark, [float(x) for x in start], BatchTable(spark, "parameters", folder)
 
     def before(self, batch: int) -> list[float]:
         earlier = self.table.read(before=batch)

@@ -12,41 +12,46 @@ from millrace.streaming.feed import BatchTable, Replay
 
 
 def running_counts(spark: SparkSession, rows: DataFrame, key: str, order: Sequence[str], initial: Mapping[str, int],
-                   slices: int = 3) -> DataFrame:
+                   slices: int = 3, folder: str | None = None, first: int = 0) -> DataFrame:
     """One output row per input row: its number within its key, after the seeded count.
 
-    The state is a table of counts per key and batch. Rows of a batch are numbered in range
-    blocks, so a key that holds most rows is not handled by one task. A seeded key that never
-    arrives emits nothing.
+    Each batch reads the totals per key that the batch before it left, and leaves its own. Rows of a batch
+    are numbered in range blocks, so a key that holds most rows is not handled by one task. A seeded key
+    that never arrives emits nothing. ``folder`` and ``first`` resume an earlier run.
     """
-    state, out = BatchTable(spark, "state"), BatchTable(spark, "running")
+    state, out = BatchTable(spark, "state", folder), BatchTable(spark, "running", folder)
     seeds = spark.createDataFrame(list(initial.items()) or [("", 0)], f"{key} string, _seed bigint")
 
     def each(batch: DataFrame, number: int) -> None:
         numbered = running_sums(batch, list(order), {"_inside": F.lit(1)}, keys=[key])
-        state.write(batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), number)
-        earlier = state.read(before=number).groupBy(key).agg(F.sum("_n").alias("_before"))
+        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        earlier = state.only(number - 1)
+        total = counts if earlier is None else counts.unionByName(earlier).groupBy(key).agg(F.sum("_n").alias("_n"))
+        state.write(total, number)
+        earlier = (counts.limit(0) if earlier is None else earlier).withColumnRenamed("_n", "_before")
         joined = numbered.join(earlier, key, "left").join(F.broadcast(seeds), key, "left")
         total = F.col("_inside") + F.coalesce("_before", F.lit(0)) + F.coalesce("_seed", F.lit(0))
         out.write(joined.withColumn("running", total).drop("_inside", "_before", "_seed"), number)
 
-    Replay(spark, {"rows": rows}, slices=slices).run(lambda s: s, each)
+    Replay(spark, {"rows": rows}, slices=slices, folder=folder, first=first).run(lambda s: s, each)
     return out.read()
 
 
-def recoverable_count(spark: SparkSession, words: DataFrame, blocked: Sequence[str], slices: int = 3) -> DataFrame:
+def recoverable_count(spark: SparkSession, words: DataFrame, blocked: Sequence[str], slices: int = 3,
+                      folder: str | None = None, first: int = 0) -> DataFrame:
     """Counts per batch without blocked words, and the blocked occurrences dropped so far.
 
     Every slice restarts the query from its checkpoint. A batch that runs again replaces its
-    own output, so totals survive a stop at any point.
+    own output, so totals survive a stop at any point. A new process resumes with the same ``folder``,
+    from the ``first`` slice that has not been fed.
     """
-    out = BatchTable(spark, "counts")
+    out = BatchTable(spark, "counts", folder)
 
     def each(batch: DataFrame, number: int) -> None:
         held = F.col("word").isin(list(blocked))
         out.write(batch.groupBy("slice", F.when(held, None).otherwise(F.col("word")).alias("word")).agg(F.count(F.lit(1)).alias("n")), number)
 
-    Replay(spark, {"words": words}, slices=slices).run(lambda s: s, each)
+    Replay(spark, {"words": words}, slices=slices, folder=folder, first=first).run(lambda s: s, each)
     return out.read().groupBy("slice", "word").agg(F.sum("n").alias("n"))
 
 
