@@ -135,6 +135,23 @@ def snk3(spark, folder):
     return sinks.write_csv(summary, fresh_path(spark, "filesummary"))
 
 
+@query("snk3_file_list_report", f"""WITH {dirlog.SQL_FILE_LIST}
+  SELECT loop_no, file_ext, count(*) AS n, CAST(sum(file_size) AS BIGINT) AS bytes FROM filelist GROUP BY 1, 2""")
+def snk3_files(spark, folder):
+    """The report of every file, read back and counted."""
+    files = dirlog.file_list(dirlog.log_lines(spark, folder))
+    back = sinks.write_csv(files, fresh_path(spark, "filelist"))
+    return back.groupBy("loop_no", "file_ext").agg(F.count(F.lit(1)).alias("n"), F.sum("file_size").cast("bigint").alias("bytes"))
+
+
+@query("snk3_loop_summary_report", f"""WITH {dirlog.SQL_LOOP_SUMMARY} SELECT af.loop_no, all_file_count, all_file_size,
+  ob_file_count, ob_file_size FROM af JOIN df ON af.loop_no = df.loop_no""")
+def snk3_loops(spark, folder):
+    loops = dirlog.loop_summary(dirlog.file_list(dirlog.log_lines(spark, folder)))
+    back = sinks.write_csv(loops, fresh_path(spark, "loopsummary"))
+    return back.select("loop_no", "all_file_count", "all_file_size", "ob_file_count", "ob_file_size")
+
+
 @query("snk4_chart_rows", f"""WITH {dirlog.SQL_FILE_SUMMARY}
   SELECT ',[''' || file_name || ''',' || loop_no_first || ',' || age || ']' AS value FROM file_summary""")
 def snk4(spark, folder):

@@ -35,10 +35,13 @@ class _Parameters:
 
 
 def streaming_kmeans(spark: SparkSession, points: DataFrame, vector: str, centres: np.ndarray, decay: float = 1.0,
-                     slices: int = 3) -> np.ndarray:
-    """Centres after all batches: c = (c * n * decay + sum) / (n * decay + m) per batch of m points."""
+                     slices: int = 3, folder: str | None = None, first: int = 0) -> np.ndarray:
+    """Centres after all batches: c = (c * n * decay + sum) / (n * decay + m) per batch of m points.
+
+    ``folder`` and ``first`` resume an earlier run.
+    """
     k, d = centres.shape
-    held = _Parameters(spark, [*centres.ravel(), *np.zeros(k)])
+    held = _Parameters(spark, [*centres.ravel(), *np.zeros(k)], folder)
 
     def each(batch: DataFrame, number: int) -> None:
         state = np.array(held.before(number))
@@ -50,17 +53,18 @@ def streaming_kmeans(spark: SparkSession, points: DataFrame, vector: str, centre
             new[i, p] = (c[i, p] * n[i] * decay + r["total"]) / (n[i] * decay + r["n"])
         held.save([*new.ravel(), *(n * decay + counts)], number)
 
-    Replay(spark, {"points": points}, slices=slices).run(lambda s: s, each)
+    Replay(spark, {"points": points}, slices=slices, folder=folder, first=first).run(lambda s: s, each)
     return np.array(held.last())[:k * d].reshape(k, d)
 
 
 def streaming_gradient(spark: SparkSession, points: DataFrame, columns: Sequence[str], label: str, logistic: bool,
-                       step: float = 0.1, steps: int = 50, slices: int = 3) -> list[float]:
+                       step: float = 0.1, steps: int = 50, slices: int = 3, folder: str | None = None,
+                       first: int = 0) -> list[float]:
     """Weights of a linear or logistic model after some gradient steps on every batch, from zero.
 
-    Step i of a batch moves by step / sqrt(i) along the mean gradient.
+    Step i of a batch moves by step / sqrt(i) along the mean gradient. ``folder`` and ``first`` resume an earlier run.
     """
-    held = _Parameters(spark, [0.0] * len(columns))
+    held = _Parameters(spark, [0.0] * len(columns), folder)
 
     def each(batch: DataFrame, number: int) -> None:
         weights = held.before(number)
@@ -73,7 +77,7 @@ def streaming_gradient(spark: SparkSession, points: DataFrame, columns: Sequence
         data.unpersist()
         held.save(weights, number)
 
-    Replay(spark, {"points": points}, slices=slices).run(lambda s: s, each)
+    Replay(spark, {"points": points}, slices=slices, folder=folder, first=first).run(lambda s: s, each)
     return held.last()
 
 

@@ -89,11 +89,12 @@ def test_principal_components(spark, cloud, cloud_frame):
     _, pc = linear.principal_components(cloud_frame.select("id", "v"), "v", 2)
     _, vectors = np.linalg.eigh(np.cov(cloud.T))
     assert np.abs(pc) == pytest.approx(np.abs(vectors[:, ::-1][:, :2]), abs=1e-6)
+    assert (pc[np.abs(pc).argmax(axis=0), [0, 1]] > 0).all()
 
 
 def test_rules(spark):
-    sets = spark.createDataFrame([(["a"], 20), (["b"], 50), (["a", "b"], 16)], "items array<string>, freq bigint")
-    assert [(r["antecedent"], r["consequent"], r["confidence"]) for r in patterns.association_rules(sets, 0.8).collect()] == [(["a"], "b", 0.8)]
+    sets = spark.createDataFrame([(["tea"], 40), (["milk"], 90), (["tea", "milk"], 36)], "items array<string>, freq bigint")
+    assert [(r["antecedent"], r["consequent"], r["confidence"]) for r in patterns.association_rules(sets, 0.85).collect()] == [(["tea"], "milk", 0.9)]
 
 
 def test_sequences(spark):

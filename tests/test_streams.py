@@ -88,3 +88,41 @@ def test_late_windows_stay_closed(spark, small):
     e = table(spark, small, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.lit(0).alias("slice"))
     got = feed.updates(spark, {"e": e}, lambda s: feed.windowed(s, "ts", "1 day", None, [], F.count(F.lit(1)).alias("n")), ["start"], slices=1)
     assert got.agg(F.sum("n")).first()[0] == e.count()
+
+
+def resumed(work, tmp_path):
+    """Results of a run in one go and of one that stops after two slices and goes on with new objects."""
+    whole = work(str(tmp_path / "whole"), 3, 0)
+    work(str(tmp_path / "parts"), 2, 0)
+    return whole, work(str(tmp_path / "parts"), 3, 2)
+
+
+def test_recoverable_count_resumes(spark, tmp_path):
+    words = numbers(spark).select(F.col("k").alias("word"), "slice")
+
+    def work(folder, slices, first):
+        out = stateful.recoverable_count(spark, words, ("3",), slices, folder, first)
+        return sorted(map(str, out.collect()))
+
+    whole, parts = resumed(work, tmp_path)
+    assert whole == parts and len(whole) == 21
+
+
+def test_running_counts_resume(spark, tmp_path):
+    def work(folder, slices, first):
+        out = stateful.running_counts(spark, numbers(spark, 90), "k", ["id"], {"3": 5}, slices, folder, first)
+        return {r["id"]: r["running"] for r in out.collect()}
+
+    whole, parts = resumed(work, tmp_path)
+    assert whole == parts == {i: i // 7 + 1 + 5 * (i % 7 == 3) for i in range(90)}
+
+
+def test_streaming_weights_resume(spark, tmp_path):
+    rows = [(float(i % 5), float(2 * (i % 5)), i * 3 // 60) for i in range(60)]
+    points = spark.createDataFrame(rows, "x double, y double, slice int")
+
+    def work(folder, slices, first):
+        return learning.streaming_gradient(spark, points, ["x"], "y", False, 0.01, 3, slices, folder, first)
+
+    whole, parts = resumed(work, tmp_path)
+    assert whole == pytest.approx(parts) and whole[0] > 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import numeric, text, weblog
 from millrace.operators import dirlog
+from millrace.operators.features import active_entries, quantile_buckets, text_corpus
 from millrace.sources.readers import read_ordered_lines
 
 
@@ -35,13 +36,13 @@ def test_file_names(spark):
 
 
 def test_access_log(spark):
-    line = '1.2.3.4 - {user} [18/Jan/2013:17:56:07 +1100] "GET /x HTTP/1.1" 304 {sent} "http://r/" "agent" tail'
-    rows = [line.format(user='"ANN"', sent="315"), line.format(user='"ANN"', sent="-"),
+    line = '1.2.3.4 - {user} [02/Mar/2021:05:06:07 +0200] "GET /x HTTP/1.1" 200 {sent} "http://r/" "agent" tail'
+    rows = [line.format(user='"ANN"', sent="871"), line.format(user='"ANN"', sent="-"),
             line.format(user='"-"', sent="20"), "not a log line", line.format(user='"A\x01"', sent="5")]
     got = spark.createDataFrame([(r,) for r in rows], "line string").select(weblog.access_log(F.col("line")).alias("e")).select(
         *weblog.visit_key(F.col("e")), weblog.visit_bytes(F.col("e"))).collect()
     key = ("1.2.3.4", '"ANN"', "GET /x HTTP/1.1")
-    assert [tuple(r) for r in got] == [(*key, 315), (*key, 0), (None, None, None, 20), (None, None, None, 0),
+    assert [tuple(r) for r in got] == [(*key, 871), (*key, 0), (None, None, None, 20), (None, None, None, 0),
                                        ("1.2.3.4", '"A\x01"', "GET /x HTTP/1.1", 5)]
 
 
@@ -85,3 +86,22 @@ def test_directory_log_files(spark, tmp_path, many_blocks):
     assert summary["note"]["age"] == 600 and summary["note"]["loop_no_last"] == 2
     loops = dirlog.loop_summary(files).collect()
     assert {r["loop_no"] for r in loops} == {1} and all(r["ob_file_count"] == 2 for r in loops)
+
+
+def test_corpus_keeps_every_term(spark):
+    """More terms than the library's default vocabulary of 2 to the 18th."""
+    docs = spark.range(2700).select("id", F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("w"), (F.col("id") * 100 + i).cast("string"))), " ").alias("text"))
+    corpus, vocabulary = text_corpus(docs, "id", "text")
+    assert len(vocabulary) == 270_000
+    sizes = corpus.select(F.size(active_entries("features")).alias("n")).groupBy("n").count().collect()
+    assert [(r["n"], r["count"]) for r in sizes] == [(100, 2700)]
+
+
+def test_quantile_buckets(spark):
+    rows = [(i, float(i % 10)) for i in range(40)] + [(40, None), (41, float("nan"))]
+    frame = spark.createDataFrame(rows, "id int, x double")
+    got = {r["id"]: r["b"] for r in quantile_buckets(frame, "x", ["x", "id"], 4, "b").collect()}
+    # Positions 9, 19 and 29 of the sorted values hold 2, 4 and 7.
+    assert got == {i: None if x is None or x != x else float((x >= 2) + (x >= 4) + (x >= 7)) for i, x in rows}
+    assert quantile_buckets(frame.limit(0), "x", ["x", "id"], 4, "b").count() == 0
