@@ -1,9 +1,10 @@
 """Main text of web pages by composite text density.
 
 A tree is built from the tags. For every node the characters per tag are computed, adjusted by the share of link
-text (Sun, Song and Liao, 2011); the densities of a node's children are summed, and the subtree with the largest
-sum is the article. The lowest density on the path from it up to the body is the threshold that its neighbours
-along this path must reach to belong to the text as well. Menus, headers, footers, sidebars, notices, adverts,
+text (Sun, Song and Liao, 2011); the densities of a node's children are summed, and the largest sum shows where the
+article is. Its enclosing article element (or the nearest one named as content) is taken whole. Of the neighbours
+along the path from there up to the outermost main or content element (or to the top, where there is none), all
+belong to the text, however short, unless half of their text or more is links. Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are cut out by their tag, role or class before anything is measured.
 
 Defined results: null or empty html, and a page without text, give an empty text; broken markup is read as far
@@ -34,6 +35,8 @@ CUT_NAMES = frozenset("ad ads advert advertisement adverts banner breadcrumb bre
                       "recommended related replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 PAGE_HEADER_INSIDE = frozenset("article main section".split())
+BODIES = frozenset("article main".split())
+CONTENT_NAMES = frozenset("article article-body article-content content entry-content main main-content page-content post-body post-content story-body".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -44,7 +47,7 @@ class Page:
     """Nodes in order of their start; node 0 stands for the document."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.cut = ["#"], [-1], [False]
+        self.tag, self.parent, self.cut, self.content = ["#"], [-1], [False], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block begins or ends
         self.open = [0]
         at = 0
@@ -81,17 +84,23 @@ class Page:
         self.tag.append(name)
         self.parent.append(parent)
         self.cut.append(self.cut[parent] or self._unwanted(name, attributes))
+        self.content.append(name not in ("body", "html") and any(not CONTENT_NAMES.isdisjoint(v) for _, v in self._named(attributes)))
         self.open.append(len(self.tag) - 1)
 
+    @staticmethod
+    def _named(attributes: str) -> Iterator[tuple[str, list[str]]]:
+        """The classes, ids and roles."""
+        for m in ATTRIBUTE.finditer(attributes) if attributes else ():
+            yield m[1].lower(), (m[2] or m[3] or m[4] or "").lower().split()
+
     def _unwanted(self, name: str, attributes: str) -> bool:
         if name in CUT:
             return True
         if name == "header":  # of the page; an article may head its text with one
             return not any(self.tag[n] in PAGE_HEADER_INSIDE for n in self.open)
         if attributes and name not in ("body", "html", "article", "main"):
-            for m in ATTRIBUTE.finditer(attributes):
-                values = (m[2] or m[3] or m[4] or "").lower().split()
-                if m[1].lower() == "role" and CUT_ROLES.intersection(values):
+            for kind, values in self._named(attributes):
+                if kind == "role" and CUT_ROLES.intersection(values):
                     return True
                 if any(v in CUT_NAMES or not CUT_NAMES.isdisjoint(re.split("[-_]+", v)) for v in values):
                     return True
@@ -115,8 +124,8 @@ class Page:
                 del self.open[i:]
                 return
 
-    def densities(self) -> tuple[list[float], list[float]]:
-        """Composite text density of each node, and the sum over its children."""
+    def densities(self) -> tuple[list[float], list[int], list[int]]:
+        """Sum of the composite text densities of each node's children, its characters, and those of its links."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.pieces:
@@ -133,34 +142,61 @@ class Page:
             link_chars[up] += link_chars[node]
             link_tags[up] += link_tags[node]
         overall = link_chars[0] / max(1, chars[0])
-        density, sums = [0.0] * n, [0.0] * n
-        for node in range(n - 1, -1, -1):
+        sums = [0.0] * n
+        for node in range(n - 1, 0, -1):
             c, t, lc, lt = chars[node], max(1, tags[node]), max(1, link_chars[node]), max(1, link_tags[node])
             if c and not self.cut[node]:
                 base = math.log(c / max(1, c - link_chars[node]) * link_chars[node] + overall * c + math.e)
-                density[node] = c / t * max(0.0, math.log(c / lc * t / lt + 1)) / max(base, 1.0)
-            if node:
-                sums[self.parent[node]] += density[node]
-        return density, sums
+                sums[self.parent[node]] += c / t * max(0.0, math.log(c / lc * t / lt + 1)) / max(base, 1.0)
+        return sums, chars, link_chars
+
+    def _path(self, node: int) -> list[int]:
+        path = [node]
+        while path[-1]:
+            path.append(self.parent[path[-1]])
+        return path
+
+    def _article(self, best: int, chars: list[int]) -> tuple[int, int]:
+        """The node whose whole subtree is the article, and the one up to which its neighbours may belong to it."""
+        path = self._path(best)
+        if not any(self.tag[i] in BODIES for i in path):
+            inside = [False] * len(self.tag)
+            for node in range(best, len(self.tag)):
+                inside[node] = node == best or node > best and inside[self.parent[node]]
+            held = [i for i, tag in enumerate(self.tag) if tag in BODIES and inside[i] and not self.cut[i]]
+            top = max(held, key=lambda i: chars[i], default=best)
+            if 2 * chars[top] >= chars[best]:
+                path = self._path(top)
+        articles = [i for i in path if self.tag[i] == "article"]
+        marked = [i for i in path if self.tag[i] in BODIES or self.content[i]]
+        inner = articles[-1] if articles else next((i for i in path if self.content[i]), path[0])
+        return inner, marked[-1] if marked else 0
 
     def main_text(self) -> str:
-        density, sums = self.densities()
+        sums, chars, link_chars = self.densities()
         n = len(self.tag)
         best = max(range(n), key=lambda i: (not self.cut[i], sums[i]))
         if not sums[best]:
             wanted = [not c for c in self.cut]
         else:
-            path, node = [], best
-            while node >= 0:
-                path.append(node)
+            inner, outer = self._article(best, chars)
+            between, node = set(), inner  # the path from above the article to ``outer``
+            while node != outer:
                 node = self.parent[node]
-            threshold = min(density[i] for i in path)
-            on_path, wanted = set(path), [False] * n
+                between.add(node)
+            own, own_links = [0] * n, [0] * n
+            for node, text in self.pieces:
+                own[node] += len((text or "").strip())
+            for node in range(1, n):
+                own_links[self.parent[node]] += chars[node] if self.tag[node] == "a" else 0
+            kept, wanted = [False] * n, [False] * n
             for node in range(n):
                 up = self.parent[node]
                 if not self.cut[node]:
-                    wanted[node] = (node == best or up >= 0 and wanted[up]
-                                    or up in on_path and node not in on_path and density[node] >= threshold > 0)
+                    kept[node] = (node == inner or up >= 0 and kept[up]
+                                  or up in between and node not in between
+                                  and (own[up] > own_links[up] if self.tag[node] == "a" else 2 * link_chars[node] < max(1, chars[node])))
+                    wanted[node] = kept[node] or node in between
         blocks, block = [], []
         for node, text in [*self.pieces, (0, None)]:
             if text is None:

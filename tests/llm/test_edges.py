@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeats, empty tables, clashing names, limits and hot groups on small tables."""
 
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -194,3 +195,18 @@ def test_html(spark):
     df = spark.createDataFrame([(1, None), (1, None), (None, "<p>" * 3000 + "x")], "page_id bigint, html string")
     assert sorted(r.text for r in html_text.extract(df, ["page_id"]).collect()) == ["", "", "x"]
     assert html_text.extract(df.limit(0), ["page_id"]).count() == 0
+
+
+def test_html_keeps_the_whole_article():
+    """Headings, leads, short sections and lists stay, wherever the densest part of the article is."""
+    p = lambda n, word="text": f"<p>{(word + ' ') * (n // 5)}</p>"
+    body = "".join(p(500) for _ in range(8))
+    links = "<ul>" + "".join(f"<li><a href=x>other story {i}</a></li>" for i in range(9)) + "</ul>"
+    lead = f"<h1>head of it</h1>{p(300, 'lead')}<div>{body}</div>{p(200, 'last')}"
+    two = f"<section><h2>one</h2>{body}</section><section><h2>two</h2>{p(300, 'more')}{p(300, 'also')}<ul><li>item</li></ul></section>"
+    plain = lambda source: " ".join(re.sub("<[^>]+>", " ", source).split())
+    assert html_text.main_text(f"<body>{links}<article>{lead}</article>{links}</body>") == plain(lead)
+    assert html_text.main_text(f"<body><article>{two}</article>{links}</body>") == plain(two)
+    assert html_text.main_text(f"<body><div><div>{links}<div>{lead}</div></div></div>{links}</body>") == plain(lead)
+    assert html_text.main_text(f"<main>bare lead<h1>title</h1><p>short</p><article>{two}</article>{links}</main>") == plain(f"bare lead title short {two}")
+    assert html_text.main_text(f"<div class=entry-content><div>{body}</div>{links}</div>{links}") == plain(body + links)
