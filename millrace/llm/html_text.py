@@ -5,10 +5,12 @@ text (Sun, Song and Liao, 2011); the densities of a node's children are summed,
 article is. Its enclosing article element (or the nearest one named as content) is taken whole. Of the neighbours
 along the path from there up to the outermost main or content element (or to the top, where there is none), all
 belong to the text, however short, unless half of their text or more is links. Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments are cut out by their tag, role or class before anything is measured.
+forms, scripts, styles and reader comments are cut out by their tag, role or class before anything is measured,
+but nothing by its role or class that contains an article, main or h1 element or most of the page's text, and by a
+part of a class only what is small or a third of links.
 
 Defined results: null or empty html, and a page without text, give an empty text; broken markup is read as far
-as it goes (an unclosed comment or script ends with the page); rows that repeat give a row each; other columns
+as it goes (an unclosed comment or raw text such as a script ends with the page; an unclosed button, select or object is read on); rows that repeat give a row each; other columns
 are ignored; a page of any length is read whole, in time linear in its length.
 """
 
@@ -25,15 +27,24 @@ from millrace.llm.batches import map_rows
 
 # Parts of the HTML standard that matter here, and names that mark what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var wbr del".split())
-RAW = frozenset("script style textarea title iframe noembed noframes noscript template svg math select button object".split())
-CUT = RAW | frozenset("nav footer aside form head dialog menu canvas audio video".split())
+INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var wbr del "
+                   "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+                   "msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split())
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
+FOREIGN = frozenset("svg math".split())
+GONE = frozenset("nav footer aside head dialog menu canvas audio video template annotation annotation-xml".split())
+CONTROLS = frozenset("button select object svg noscript".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 SCOPES = frozenset("body html article section main div table ul ol dl td th blockquote".split())
 CUT_NAMES = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments comments-area consent cookie "
                       "cookies disclaimer footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
                       "recommended related replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+COMMENT_NAMES = frozenset("comment comments comments-area replies".split())
+SURE_NAMES = COMMENT_NAMES | frozenset("ad ads advert advertisement adverts consent cookie cookies newsletter popup promo promoted sponsor sponsored subscribe".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+NEGATIONS = frozenset("has no with without".split())  # has-sidebar and layout-no-sidebar name what stands beside or is not there
+TINY = 10  # percent of the page's text; what a class names by its end or a sure beginning is cut up to it without links, too
+IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 PAGE_HEADER_INSIDE = frozenset("article main section".split())
 BODIES = frozenset("article main".split())
 CONTENT_NAMES = frozenset("article article-body article-content content entry-content main main-content page-content post-body post-content story-body".split())
@@ -43,11 +54,15 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 SPACES = re.compile(r"\s+")
 
 
+def _visible(text: str) -> int:
+    return len(text) - text.count(" ") - text.count("\n")
+
+
 class Page:
     """Nodes in order of their start; node 0 stands for the document."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.cut, self.content = ["#"], [-1], [False], [False]
+        self.tag, self.parent, self.mark, self.content, self.closed = ["#"], [-1], [""], [False], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block begins or ends
         self.open = [0]
         at = 0
@@ -63,17 +78,22 @@ class Page:
                 self._end(name)
                 continue
             self._start(name, m[3])
-            if name in RAW and not m[3].rstrip().endswith("/"):
+            if m[3].rstrip().endswith("/") and (name in RAW or name in FOREIGN):
+                self._end(name)
+            elif name in RAW:
                 close = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", re.IGNORECASE).search(source, at)
                 at = close.end() if close else len(source)
                 self._end(name)
         if at < len(source):
             self._text(source[at:])
+        self._cut()
 
     def _text(self, text: str) -> None:
         self.pieces.append((self.open[-1], html.unescape(text)))
 
     def _start(self, name: str, attributes: str) -> None:
+        if name not in IN_HEAD and self.tag[self.open[-1]] == "head":  # its end tag may be left out
+            self.closed[self.open.pop()] = True
         if name not in INLINE:
             if name not in VOID:
                 self._leave("p" if name not in CLOSED_BY_SAME else name)
@@ -83,7 +103,8 @@ class Page:
         parent = self.open[-1]
         self.tag.append(name)
         self.parent.append(parent)
-        self.cut.append(self.cut[parent] or self._unwanted(name, attributes))
+        self.mark.append(self._mark(name, attributes))
+        self.closed.append(False)
         self.content.append(name not in ("body", "html") and any(not CONTENT_NAMES.isdisjoint(v) for _, v in self._named(attributes)))
         self.open.append(len(self.tag) - 1)
 
@@ -93,18 +114,72 @@ class Page:
         for m in ATTRIBUTE.finditer(attributes) if attributes else ():
             yield m[1].lower(), (m[2] or m[3] or m[4] or "").lower().split()
 
-    def _unwanted(self, name: str, attributes: str) -> bool:
-        if name in CUT:
-            return True
+    def _mark(self, name: str, attributes: str) -> str:
+        """How sure tag, role, class and id are that an element is not the article's: raw, gone, control, named, comment, end, part."""
+        if name in RAW:
+            return "raw"
+        if name in GONE:
+            return "gone"
+        if name in CONTROLS:
+            return "control"
         if name == "header":  # of the page; an article may head its text with one
-            return not any(self.tag[n] in PAGE_HEADER_INSIDE for n in self.open)
-        if attributes and name not in ("body", "html", "article", "main"):
+            return "" if any(self.tag[n] in PAGE_HEADER_INSIDE for n in self.open) else "gone"
+        found = {"named"} if name == "form" else set()
+        if name not in ("body", "html", "article", "main"):
             for kind, values in self._named(attributes):
                 if kind == "role" and CUT_ROLES.intersection(values):
-                    return True
-                if any(v in CUT_NAMES or not CUT_NAMES.isdisjoint(re.split("[-_]+", v)) for v in values):
-                    return True
-        return False
+                    found.add("named")
+                for value in values:
+                    parts = re.split("[-_]+", value)
+                    if value in CUT_NAMES:
+                        found.add("comment" if value in COMMENT_NAMES else "named")
+                    elif not CUT_NAMES.isdisjoint(parts):
+                        sure = NEGATIONS.isdisjoint(parts) and (parts[0] in SURE_NAMES or parts[-1] in CUT_NAMES and parts[-1] != "widget")
+                        comment = sure and (parts[0] in COMMENT_NAMES or parts[-1] in COMMENT_NAMES)
+                        found.add("comment" if comment else "end" if sure else "part")
+        return next((m for m in ("named", "comment", "end", "part") if m in found), "")
+
+    def _cut(self) -> None:
+        """Marks what is not the article: never what holds an article, main or h1 or most of the text, and by a part of a name only links."""
+        n = len(self.tag)
+        out = [False] * n  # out of the page's text in any case
+        for node in range(1, n):
+            mark = self.mark[node]
+            out[node] = out[self.parent[node]] or mark == "raw" or mark in ("gone", "control") and self.closed[node]
+        chars, links, holds = [0] * n, [0] * n, [0] * n
+        inside = [0] * n  # characters of the same subtree, for controls, too
+        for node, text in self.pieces:
+            if text:
+                inside[node] += _visible(text)
+                chars[node] += 0 if out[node] else _visible(text)
+        for node in range(n - 1, 0, -1):
+            up = self.parent[node]
+            if self.tag[node] == "a":
+                links[node] = chars[node]
+            if self.mark[node] != "raw":
+                inside[up] += inside[node]
+            holds[node] += self.tag[node] in ("article", "main", "h1")
+            chars[up], links[up], holds[up] = chars[up] + chars[node], links[up] + links[node], holds[up] + holds[node]
+        total = chars[0]
+        bodies = any(tag in BODIES for tag in self.tag)
+        within = [False] * n
+        self.cut = [False] * n
+        for node in range(1, n):
+            mark, c, linked = self.mark[node], chars[node], 3 * links[node] >= max(1, chars[node])
+            within[node] = within[self.parent[node]] or self.tag[node] in BODIES
+            most = 2 * c > total and (within[node] or not bodies)  # an advert may be longer than a short article beside it
+            if mark in ("gone", "control") and self.closed[node]:
+                # A button or a select around the page's text holds the page.
+                cut = mark == "gone" or not (holds[node] or 2 * inside[node] > total + inside[node])
+            elif mark in ("gone", "named"):
+                cut = not (holds[node] or most)
+            elif mark == "comment":  # readers may write more than the author
+                cut = not (holds[node] or most and not holds[0])
+            elif mark in ("end", "part"):
+                cut = not (holds[node] or most) and (linked or mark == "end" and 100 * c <= TINY * total)
+            else:
+                cut = mark == "raw"
+            self.cut[node] = self.cut[self.parent[node]] or cut
 
     def _leave(self, name: str) -> None:
         """Closes an open ``name`` of the current scope, as the start of a block does."""
@@ -121,6 +196,7 @@ class Page:
             self.pieces.append((self.open[-1], None))
         for i in range(len(self.open) - 1, 0, -1):
             if self.tag[self.open[i]] == name:
+                self.closed[self.open[i]] = True
                 del self.open[i:]
                 return
 
@@ -130,7 +206,7 @@ class Page:
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.pieces:
             if text and not self.cut[node]:
-                chars[node] += len(text) - text.count(" ") - text.count("\n")
+                chars[node] += _visible(text)
         for node in range(n - 1, 0, -1):
             if self.cut[node]:
                 continue

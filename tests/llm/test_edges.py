@@ -210,3 +210,30 @@ def test_html_keeps_the_whole_article():
     assert html_text.main_text(f"<body><div><div>{links}<div>{lead}</div></div></div>{links}</body>") == plain(lead)
     assert html_text.main_text(f"<main>bare lead<h1>title</h1><p>short</p><article>{two}</article>{links}</main>") == plain(f"bare lead title short {two}")
     assert html_text.main_text(f"<div class=entry-content><div>{body}</div>{links}</div>{links}") == plain(body + links)
+
+
+def test_html_cuts_no_article_by_a_name():
+    """Class names, forms and unclosed controls around the article do not remove it; boilerplate of the same names goes."""
+    text = "<h1>head</h1>" + "<p>enough words of an article to count as its text</p>" * 6
+    plain = lambda source: " ".join(re.sub("<[^>]+>", " ", source).split())
+    for opened in ("<div class=has-sidebar>", "<div class='layout-no-sidebar x'>", "<div class=elementor-widget>", "<div class=share-content>",
+                   "<section id=related-work>", "<form id=aspnetForm>", "<div class=widget>", "<div role=form>", "<nav>"):
+        page = f"<body>{opened}{text}</{opened[1:].split()[0].strip('>')}></body>"
+        if opened != "<nav>":
+            assert html_text.main_text(page) == plain(text), opened
+        else:
+            assert html_text.main_text(page) == ""
+    parts = "".join(f"<section id={i}><p>{'words of a section ' * 9}</p></section>" for i in ("intro", "related-work", "share-content", "end"))
+    assert html_text.main_text(f"<body><div>{parts}</div></body>") == plain(parts)
+    for opened in ("<button>", "<select>", "<object>", "<svg>", "<template>", "<nav>"):
+        assert html_text.main_text(f"<body>{opened}<article>{text}</article></body>") == plain(text), opened
+        closed = f"{opened}label</{opened[1:]}"
+        assert html_text.main_text(f"<body><article>{closed}{text}</article>{closed}</body>") == plain(text), opened
+    assert html_text.main_text(f"<body><div><button>go{text}</div></body>") == "go " + plain(text)
+    assert html_text.main_text(f"<head><title>x</title><body>{text}") == plain(text)
+    assert html_text.main_text(f"<article>{text}<p>so <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds</p></article>") == plain(text) + " so E=m holds"
+    assert html_text.main_text(f"<article>{text}</article><textarea>{text}") == plain(text)
+    junk = ("<div class=left-sidebar><a href=x>one</a> <a href=y>two</a></div><div class=ad-slot>buy</div><div class=ad>buy now</div>"
+            "<div class=cookie-banner>we bake</div><div class=related-list><a href=z>other</a></div><ul class=comment-list><li>I say no</li></ul>")
+    assert html_text.main_text(f"<body>{junk}<div>{text}{junk}</div>{junk}</body>") == plain(text)
+    assert html_text.main_text("<body><div class=ad>an advert of many words</div><article><h1>a</h1><p>short</p></article></body>") == "a short"
