@@ -274,21 +274,33 @@ def _gradient_sql(logistic: bool) -> str:
     return "WITH " + ", ".join(parts) + f" SELECT round(a0, 6) AS w0, round(a1, 6) AS w1, round(a2, 6) AS w2 FROM w{k}"
 
 
-def _gradient(spark, folder, logistic):
+def _gradient(spark, folder, logistic, **settings):
     l = views.labelled_lines(spark, folder)
     y = (F.col("x1") > 0.3).cast("double") if logistic else F.col("x1")
     points = l.select((F.col("l_orderkey") % 3).cast("int").alias("slice"), "x0", "x2", "x3", y.alias("y"))
-    w = learning.streaming_gradient(spark, points, ["x0", "x2", "x3"], "y", logistic, step=0.1, steps=2)
+    w = learning.streaming_gradient(spark, points, ["x0", "x2", "x3"], "y", logistic, step=0.1, **settings)
     return spark.createDataFrame([tuple(round(x, 6) for x in w)], "w0 double, w1 double, w2 double")
 
 
 @query("stm21_streaming_linear_regression", _gradient_sql(False))
 def stm21(spark, folder):
+    """Two steps a batch, as many as the SQL has."""
+    return _gradient(spark, folder, False, steps=2)
+
+
+@query("stm21_linear_regression_all_steps")
+def stm21_all_steps(spark, folder):
+    """The operator's own number of steps a batch; the tests compare it with a brute-force gradient."""
     return _gradient(spark, folder, False)
 
 
 @query("stm22_streaming_logistic_regression", _gradient_sql(True))
 def stm22(spark, folder):
+    return _gradient(spark, folder, True, steps=2)
+
+
+@query("stm22_logistic_regression_all_steps")
+def stm22_all_steps(spark, folder):
     return _gradient(spark, folder, True)
 
 

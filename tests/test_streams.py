@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.registry import registered
+from millrace.sources import views
 from millrace.sources.tables import table
 from millrace.streaming import feed, learning, stateful
 
@@ -126,3 +128,18 @@ def test_streaming_weights_resume(spark, tmp_path):
 
     whole, parts = resumed(work, tmp_path)
     assert whole == pytest.approx(parts) and whole[0] > 0
+
+
+@pytest.mark.parametrize("name, logistic", [("stm21_linear_regression_all_steps", False), ("stm22_logistic_regression_all_steps", True)])
+def test_streamed_gradients_take_all_steps(spark, small, name, logistic):
+    """Fifty steps on each of three batches, against numpy."""
+    rows = views.labelled_lines(spark, small).select(F.col("l_orderkey") % 3, "x0", "x2", "x3", "x1").collect()
+    data = np.array([[float(v) for v in r] for r in rows])
+    w = np.zeros(3)
+    for s in range(3):
+        own = data[data[:, 0] == s]
+        x, y = own[:, 1:4], (own[:, 4] > 0.3) * 1.0 if logistic else own[:, 4]
+        for i in range(1, 51):
+            score = 1 / (1 + np.exp(-x @ w)) if logistic else x @ w
+            w = w - 0.1 / np.sqrt(i) * (x * (score - y)[:, None]).mean(axis=0)
+    assert list(registered()[name].run(spark, small).first()) == pytest.approx(w, abs=2e-6)
