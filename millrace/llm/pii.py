@@ -29,9 +29,15 @@ EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
 NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
+# Characters of an IBAN by country.
+IBAN_LENGTH = {k[:2]: int(k[2:]) for k in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 "
+    "GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 "
+    "MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20").split()}
+
 # Words that make a kind more likely when they stand nearby, in the languages of the tables.
 CONTEXT = {
     "email": ("mail", "e-mail", "email", "contact", "correo", "courriel"),
@@ -97,7 +103,24 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    return (m.span() for m in IBAN.finditer(text) if mod97(m[0]))
+    """A candidate may run on into the words behind it: ends are tried at the country's length, then as far as it goes.
+
+    Shorter ends at blanks are tried where the country's length is not known.
+    """
+    at = 0
+    while m := IBAN.search(text, at):
+        start, at = m.start(), m.start() + 4
+        ends, size = [], 0
+        for end in range(start + 1, m.end() + 1):
+            size += text[end - 1] != " "
+            after = text[end:end + 1]
+            if size >= 15 and text[end - 1] != " " and not (after.isascii() and after.isalnum()):
+                ends.append((size, end))
+        known = IBAN_LENGTH.get(text[start:start + 2])
+        tried = [e for n, e in ends if n == known] + [e for _, e in reversed(ends if known is None else ends[-1:])]
+        if end := next((e for e in tried if mod97(text[start:e])), None):
+            yield start, end
+            at = end
 
 
 def _national_ids(text: str) -> Iterator[tuple[int, int]]:

@@ -237,3 +237,13 @@ def test_html_cuts_no_article_by_a_name():
             "<div class=cookie-banner>we bake</div><div class=related-list><a href=z>other</a></div><ul class=comment-list><li>I say no</li></ul>")
     assert html_text.main_text(f"<body>{junk}<div>{text}{junk}</div>{junk}</body>") == plain(text)
     assert html_text.main_text("<body><div class=ad>an advert of many words</div><article><h1>a</h1><p>short</p></article></body>") == "a short"
+
+
+def test_ibans_before_words():
+    """Upper-case words or another IBAN behind an IBAN do not hide it."""
+    one, two = "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"
+    found = lambda text: [text[a:b] for kind, a, b, _ in pii.spans(text) if kind == "iban"]
+    assert found(f"{one} ON MONDAY") == [one]
+    assert found(f"PAY {two} {one} AB12 CD") == [two, one]
+    assert found(f"{one}, {two}. {one[:-1]}3 NO") == [one, two]
+    assert found(f"AB12 {two} NOW") == [two]
