@@ -16,10 +16,11 @@ from millrace.plans.durable import staged
 from millrace.plans.sizing import shuffle_partitions
 
 BLOCK = "_block"
+PLACE = "_place"
 
 
 def range_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``df`` sorted into written range partitions, numbered in ``_block``.
+    """``df`` sorted into written range partitions, numbered in ``_block``, with the row's place in its block.
 
     The partition count is left to adaptive execution, unless the input is so big that the
     configured count would make blocks too large for a task. The copy is written, so a lost
@@ -28,8 +29,9 @@ def range_blocks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     wanted = shuffle_partitions(df)
     enough = wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(*order) if enough else df.repartitionByRange(wanted, *order)
-    ranged = ranged.sortWithinPartitions(*order)
-    return staged(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
+    # The task that sorts a block numbers its rows too: the low 33 bits of the increasing id.
+    numbered = ranged.sortWithinPartitions(*order).withColumn(BLOCK, F.spark_partition_id())
+    return staged(numbered.withColumn(PLACE, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "blocks")
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -37,14 +39,16 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def row_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
-    """Dense 0-based position of each row in ``order`` (which must be a total order)."""
+    """Dense 0-based position of each row in ``order`` (which must be a total order).
+
+    One exchange of the rows; the join adds the start of a block, of which there is one row per task.
+    """
     blocks = range_blocks(df, order)
     starts = (blocks.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("_n"))
               .select(BLOCK, (F.sum("_n").over(W.orderBy(BLOCK)) - F.col("_n")).alias("_start")))
-    inside = W.partitionBy(BLOCK).orderBy(*order)
-    return (blocks.join(starts, BLOCK)
-            .withColumn(name, F.row_number().over(inside) - 1 + F.col("_start"))
-            .drop(BLOCK, "_start"))
+    return (blocks.join(F.broadcast(starts), BLOCK)
+            .withColumn(name, F.col(PLACE) + F.col("_start"))
+            .drop(BLOCK, PLACE, "_start"))
 
 
 def running_sums(df: DataFrame, order: Sequence[str], sums: Mapping[str, Column],

@@ -36,11 +36,31 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if planned_bytes(df) <= limit else df
 
 
+def scan_tasks(df: DataFrame) -> int | None:
+    """Number of tasks that read the inputs of ``df``, without compiling or running what lies above them.
+
+    None when an input is neither a set of files nor a local or checkpointed table, so that nothing is known.
+    """
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    total = 0
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        kind = leaf.getClass().getSimpleName()
+        if kind in ("FileSourceScanExec", "BatchScanExec"):
+            total += leaf.inputRDD().getNumPartitions()
+        elif kind in ("LocalTableScanExec", "RDDScanExec", "RangeExec"):
+            total += leaf.execute().getNumPartitions()
+        else:
+            return None
+    return total
+
+
 def balanced(df: DataFrame) -> DataFrame:
-    """Spread the rows when the scan has fewer partitions than there are cores.
+    """Spread the rows when the inputs are read by fewer tasks than there are cores.
 
-    For work that is heavy per row (text, vectors, model fits) on a few big files. A scan that
-    already fills the cluster is left alone, so large inputs are never shuffled for this.
+    For work that is heavy per row (text, vectors, model fits) on a few big files. Inputs that
+    already fill the cluster are left alone, so large ones are never shuffled for this. Only the
+    scans are looked at: no job is started.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
+    tasks = scan_tasks(df)
+    return df if tasks is None or tasks >= cores else df.repartition(cores)

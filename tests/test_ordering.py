@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import sampling
 from millrace.plans.ordering import BLOCK, carry_forward, range_blocks, row_index, running_sums
+from millrace.plans.sizing import balanced
 from millrace.plans.skew import salted_totals
 
 
@@ -75,3 +76,26 @@ def test_exact_stratified_sample(frame, rows, many_blocks):
 def test_samples_have_their_size(frame):
     assert sampling.take_sample(frame, 50, 3).select("id").distinct().count() == 50
     assert sampling.take_sample(frame, 1500, 3, with_replacement=True, order=["id"]).count() == 1500
+
+
+def test_row_index_moves_rows_once(frame, many_blocks):
+    """The written blocks are numbered where they are sorted: only one row per task is exchanged after that."""
+    plan = row_index(frame, ["v", "id"])._jdf.queryExecution().executedPlan().toString()
+    below_join = plan.split("BroadcastHashJoin")[1]
+    assert "BroadcastExchange" in below_join and "Window [row_number" not in plan
+    assert "hashpartitioning(_block" not in plan.split("BroadcastExchange")[0]
+
+
+def test_balanced_starts_no_job(spark, frame):
+    """Looking for the number of scan tasks compiles and runs nothing, also above a shuffle."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("look", "balanced")
+    try:
+        spread = balanced(frame.groupBy("k").count().join(spark.range(3), F.col("id") == F.col("count")))
+        assert list(tracker.getJobIdsForGroup("look")) == []
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert spread.count() >= 0
+    cores = spark.sparkContext.defaultParallelism
+    assert balanced(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == cores
+    assert balanced(spark.range(10, numPartitions=cores + 2)).rdd.getNumPartitions() == cores + 2
