@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import chat, decontaminate, html_text, near_dup, packing, pii, quality, sharding, tokens, toxicity
+from millrace.llm import (chat, decontaminate, html_text, near_dup, packing, pii, quality, resampling, sharding, tokens, topk, toxicity,
+                          vector_codes)
 from millrace.llm.batches import small_batches
+from millrace.llm.sql import SQL  # noqa: F401  (the other half of what is registered)
 from millrace.plans.durable import staged
 from millrace.session import configure
 from millrace.sources.tables import table
@@ -76,6 +78,19 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"), ["page_id", "url"])
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
 def _prepared(fn):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         configure(spark)
@@ -87,15 +102,4 @@ def _prepared(fn):
 
 QUERIES = {fn.__name__: _prepared(fn) for fn in (
     op1_token_counts, op2_toxicity, op3_sharding, op4_near_dup, op5_decontaminate, op6_pii, op7_quality, op8_chat, op9_packing,
-    op10_html_text)}
-
-SQL: dict[str, str] = {
-    "op3_sharding": f"""
-        WITH k AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
-            lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT)), 48, '0') AS bits FROM documents),
-        p AS (SELECT doc_id, n_bytes, left(bits, CAST(d AS INT)) AS shard, CAST(d AS INT) AS local_depth FROM k, range(0, 49) AS r(d)),
-        s AS (SELECT shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes FROM p GROUP BY 1),
-        f AS (SELECT p.*, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY local_depth) AS n
-            FROM p JOIN s USING (shard) WHERE shard_bytes <= {sharding.SHARD_BYTES})
-        SELECT doc_id, n_bytes, shard, local_depth, shard_bytes, true AS fits FROM f WHERE n = 1""",
-}
+    op10_html_text, op11_importance_resampling, op12_top_k, op13_vector_codes)}
