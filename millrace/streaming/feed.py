@@ -85,12 +85,13 @@ class Replay:
     """Feeds one or more inputs in slices to a streaming query.
 
     With a ``folder`` the inputs and the checkpoint lie there, and a later run on it, begun at slice ``first``,
-    goes on where the last one stopped.
+    goes on where the last one stopped. ``progress`` receives what Spark reports of every batch that had rows.
     """
 
     def __init__(self, spark: SparkSession, inputs: dict[str, DataFrame], slice_column: str = "slice", slices: int = 3,
-                 folder: str | None = None, first: int = 0):
+                 folder: str | None = None, first: int = 0, progress: list | None = None):
         self.spark, self.inputs, self.slice_column, self.slices = spark, inputs, slice_column, slices
+        self.progress = progress
         self.root, self.first = f"{folder}/stream" if folder else fresh_path(spark, "stream"), first
 
     def stream(self, name: str) -> DataFrame:
@@ -109,6 +110,8 @@ class Replay:
                 query = (built.writeStream.outputMode(mode).option("checkpointLocation", f"{self.root}/checkpoint")
                          .trigger(availableNow=True).foreachBatch(each).start())
                 query.awaitTermination()
+                if self.progress is not None:
+                    self.progress += [p for p in query.recentProgress if p["numInputRows"]]
 
 
 def updates(spark: SparkSession, inputs: dict[str, DataFrame], build: Callable[..., DataFrame], keys: Iterable[str],

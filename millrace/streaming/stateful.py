@@ -1,39 +1,47 @@
-"""Stateful stream operators kept as tables per batch."""
+"""Stateful stream operators: counts in the state store, sketches and values in tables per batch."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import sketches
 from millrace.plans.ordering import running_sums
 from millrace.streaming.feed import BatchTable, Replay
+from millrace.streaming.keyed import changed_counts, state_store
 
 
 def running_counts(spark: SparkSession, rows: DataFrame, key: str, order: Sequence[str], initial: Mapping[str, int],
-                   slices: int = 3, folder: str | None = None, first: int = 0) -> DataFrame:
+                   slices: int = 3, folder: str | None = None, first: int = 0, expiry: timedelta | None = None,
+                   progress: list | None = None) -> DataFrame:
     """One output row per input row: its number within its key, after the seeded count.
 
-    Each batch reads the totals per key that the batch before it left, and leaves its own. Rows of a batch
-    are numbered in range blocks, so a key that holds most rows is not handled by one task. A seeded key
-    that never arrives emits nothing. ``folder`` and ``first`` resume an earlier run.
+    The count of a key lives in the state store: a batch reads and writes the states of its own keys, however many
+    there are in all. Rows of a batch are numbered in range blocks and start at their key's count, so a key that
+    holds most rows is not handled by one task. A seeded key that never arrives emits nothing; with ``expiry`` a key
+    unseen for so long starts anew. ``folder`` and ``first`` resume an earlier run. ``progress`` receives the state
+    figures (changed and all rows) of every batch.
     """
-    state, out = BatchTable(spark, "state", folder), BatchTable(spark, "running", folder)
-    seeds = spark.createDataFrame(list(initial.items()) or [("", 0)], f"{key} string, _seed bigint")
+    arrived, out = BatchTable(spark, "arrived", folder), BatchTable(spark, "running", folder)
+
+    def build(stream: DataFrame) -> DataFrame:
+        changed = changed_counts(spark, stream, key, initial, expiry)
+        return stream.withColumn("_row", F.lit(True)).unionByName(
+            changed.select(F.col("key").cast(stream.schema[key].dataType).alias(key), F.col("before").alias("_before"), F.lit(False).alias("_row")), True)
 
     def each(batch: DataFrame, number: int) -> None:
-        numbered = running_sums(batch, list(order), {"_inside": F.lit(1)}, keys=[key])
-        counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        earlier = state.only(number - 1)
-        total = counts if earlier is None else counts.unionByName(earlier).groupBy(key).agg(F.sum("_n").alias("_n"))
-        state.write(total, number)
-        earlier = (counts.limit(0) if earlier is None else earlier).withColumnRenamed("_n", "_before")
-        joined = numbered.join(earlier, key, "left").join(F.broadcast(seeds), key, "left")
-        total = F.col("_inside") + F.coalesce("_before", F.lit(0)) + F.coalesce("_seed", F.lit(0))
-        out.write(joined.withColumn("running", total).drop("_inside", "_before", "_seed"), number)
-
-    Replay(spark, {"rows": rows}, slices=slices, folder=folder, first=first).run(lambda s: s, each)
+        # Written once: a second pass over the batch itself would run the stateful operator again.
+        arrived.write(batch, number)
+        mine = arrived.only(number)
+        numbered = running_sums(mine.where("_row").drop("_row", "_before"), list(order), {"_inside": F.lit(1)}, keys=[key])
+        before = mine.where("NOT _row").select(F.col(key).alias("_key"), "_before")
+        joined = numbered.join(before, F.col(key).eqNullSafe(F.col("_key")))
+        out.write(joined.withColumn("running", F.col("_inside") + F.col("_before")).drop("_inside", "_before", "_key"), number)
+
+    with state_store(spark):
+        Replay(spark, {"rows": rows}, slices=slices, folder=folder, first=first, progress=progress).run(build, each)
     return out.read()
 
 

@@ -1,5 +1,11 @@
 """Streams: a stop and a repeated batch change nothing; state equals the batch result."""
 
+import datetime as dt
+import subprocess
+import sys
+import time
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +125,51 @@ def test_running_counts_resume(spark, tmp_path):
     assert whole == parts == {i: i // 7 + 1 + 5 * (i % 7 == 3) for i in range(90)}
 
 
+def test_state_grows_with_the_keys_of_a_batch_only(spark):
+    """A thousand keys in the store, five in the next batch: five states are written, and a hot key is one of them."""
+    first = spark.range(1000).select("id", F.col("id").cast("string").alias("k"), F.lit(0).alias("slice"))
+    later = spark.range(1000, 1400).select("id", F.when(F.col("id") < 1300, "7").otherwise((F.col("id") % 5).cast("string")).alias("k"), F.lit(1).alias("slice"))
+    nulls = spark.range(1400, 1403).select("id", F.lit(None).cast("string").alias("k"), F.lit(1).alias("slice"))
+    progress = []
+    out = stateful.running_counts(spark, first.unionByName(later).unionByName(nulls), "k", ["id"], {}, slices=2, progress=progress)
+    states = [p["stateOperators"][0] for p in progress]
+    assert [s["numRowsUpdated"] for s in states] == [1000, 7] and states[1]["numRowsTotal"] == 1001
+    got = {r["id"]: (r["k"], r["running"]) for r in out.collect()}
+    assert len(got) == 1403 and got[7] == ("7", 1) and got[1299] == ("7", 301) and got[1402] == (None, 3)
+    assert sorted(got[i][1] for i in range(1300, 1400) if got[i][0] == "4") == list(range(2, 22))
+
+
+def test_unseen_keys_expire(spark, tmp_path):
+    rows = spark.createDataFrame([(0, "a", 0), (1, "a", 0), (2, "a", 1)], "id int, k string, slice int")
+    for expiry, last in ((dt.timedelta(milliseconds=1), 1), (dt.timedelta(days=1), 3)):
+        folder = str(tmp_path / str(last))
+        stateful.running_counts(spark, rows, "k", ["id"], {}, 1, folder, 0, expiry)
+        time.sleep(0.05)
+        out = stateful.running_counts(spark, rows, "k", ["id"], {}, 2, folder, 1, expiry)
+        assert {r["id"]: r["running"] for r in out.collect()} == {0: 1, 1: 2, 2: last}
+
+
+CONTINUED = """
+import sys
+from pyspark.sql import functions as F
+from millrace.session import build_session
+from millrace.streaming import stateful
+spark = build_session("local[2]", partitions=2, spark__ui__enabled="false")
+rows = spark.range(90).select("id", (F.col("id") % 7).cast("string").alias("k"), F.floor(F.col("id") * 3 / 90).cast("int").alias("slice"))
+out = stateful.running_counts(spark, rows, "k", ["id"], {"3": 5}, int(sys.argv[2]), sys.argv[1], int(sys.argv[3]))
+bad = out.where("running <> floor(id / 7) + 1 + if(k = '3', 5, 0)").count()
+print("rows", out.count(), "bad", bad)
+"""
+
+
+def test_running_counts_resume_in_a_new_process(tmp_path):
+    root = Path(__file__).resolve().parent.parent
+    for slices, first, expected in ((2, 0, "rows 60 bad 0"), (3, 2, "rows 90 bad 0")):
+        done = subprocess.run([sys.executable, "-c", CONTINUED, str(tmp_path / "s"), str(slices), str(first)], cwd=root, timeout=300,
+                              capture_output=True, text=True)
+        assert expected in done.stdout, done.stderr[-2000:]
+
+
 def test_streaming_weights_resume(spark, tmp_path):
     rows = [(float(i % 5), float(2 * (i % 5)), i * 3 // 60) for i in range(60)]
     points = spark.createDataFrame(rows, "x double, y double, slice int")
