@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.batches import TwoGenerations, blocks_of, map_rows, ragged
+from millrace.llm.batches import TwoGenerations, blocks_of, map_rows
 
 # The pattern that splits text before the merges, its contractions, and white space in Unicode.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -32,9 +34,11 @@ ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
-CACHED_UNITS = 200_000
-CACHED_PIECES = 100_000
+CACHED_UNITS = 300_000
+CACHED_PIECES = 150_000
 CACHED_PAIRS = 400_000
+CACHED_HEADS = 100_000
+HEADS = (8, 5)
 LONGEST_CACHED = 64
 BLOCK_CHARS = 1 << 20
 
@@ -72,6 +76,7 @@ class PrefixCounter:
         self.ascii_pattern = re.compile(ASCII_PATTERN)
         self.unit = re.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
         self.leading = re.compile(f"[{SPACE}]*+")
+        self.heads: dict[str, tuple[list[int], list[int]]] = {}
         self.stays = TwoGenerations(self._stays, CACHED_PAIRS)
         self.pieces = TwoGenerations(self._piece_counts, CACHED_PIECES, LONGEST_CACHED)
         self.units = TwoGenerations(self._unit_counts, CACHED_UNITS, LONGEST_CACHED)
@@ -95,11 +100,20 @@ class PrefixCounter:
                 before, b = b + 1, self.left[b]
 
     def _byte_counts(self, piece: str) -> list[int]:
-        """Counts at every byte prefix of one piece of the pattern, in byte letters."""
-        ends, stays = self.ends, self.stays
+        """Counts at every byte prefix of one piece of the pattern, in byte letters.
+
+        The table of a prefix does not depend on what follows, so pieces with the same head share its rows.
+        """
+        ends, stays, heads = self.ends, self.stays, self.heads
         last, count = [-1], [0]
-        end = 0
+        for size in HEADS:
+            if len(piece) > size and (known := heads.get(piece[:size])):
+                last, count = known[0][:], known[1][:]
+                break
+        end = len(last) - 1
         while end < len(piece):
+            if end in HEADS and len(heads) < CACHED_HEADS:
+                heads[piece[:end]] = (last[:], count[:])
             start, end = end, end + 1
             token = ends[piece[start:end]]
             while start and (token < 0 or not stays[last[start] << 32 | token]):
@@ -118,10 +132,10 @@ class PrefixCounter:
         count = self._byte_counts("".join([self.letters[b] for b in raw]))
         return [count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
 
-    def _plain_counts(self, text: str) -> np.ndarray:
+    def _plain_counts(self, text: str) -> list[int]:
         """Counts for white space followed by other characters, without special strings."""
         if not text:
-            return np.zeros(0, dtype=np.int32)
+            return []
         found, base = [], 0
         pattern = self.ascii_pattern if self.printable.fullmatch(text) else self.pattern
         for piece in pattern.findall(text):
@@ -133,27 +147,27 @@ class PrefixCounter:
         space = self.leading.match(text).end()
         if 1 < space < len(text):  # a prefix that ends in white space keeps it in one piece
             found[:space] = self.pieces[text[:space]]
-        return np.array(found, dtype=np.int32)
+        return found
 
-    def _unit_counts(self, unit: str) -> np.ndarray:
+    def _unit_counts(self, unit: str) -> array:
         if self.special is None or not self.special.search(unit):
-            return self._plain_counts(unit)
+            return array("I", self._plain_counts(unit))
         found, base, at = [], 0, 0
         for match in [*self.special.finditer(unit), None]:
             end = match.end() if match else len(unit)
-            counts = self._plain_counts(unit[at:end]) + base
+            counts = [base + c for c in self._plain_counts(unit[at:end])]
             if match:
                 inside = match.start() - at
                 counts[-1] = (counts[inside - 1] if inside else base) + 1
                 if inside and unit[at:match.start()].isspace() and inside > 1:
                     counts[-1] = base + self.pieces[unit[at:match.start()]][-1] + 1
                 base = counts[-1]
-            found.append(counts)
+            found.extend(counts)
             at = end
-        return np.concatenate(found)
+        return array("I", found)
 
-    def counts(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """For each text, counts[i] is the number of tokens of text[:i]; counts[0] is 0.
+    def two_levels(self, texts: Sequence[str]) -> TwoLevels:
+        """Counts at every prefix of the texts: inside each distinct unit, and before each unit of a text.
 
         Equal units of the texts are looked up once.
         """
@@ -161,18 +175,54 @@ class PrefixCounter:
         coded = pa.array(chain.from_iterable(parts), pa.large_string()).dictionary_encode()
         code = coded.indices.to_numpy()
         known = [self.units[u] for u in coded.dictionary.to_pylist()]
-        if not known:
-            return [np.zeros(1, dtype=np.int64) for _ in texts]
-        values = np.concatenate(known)
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        end = np.cumsum(size)
-        total = values[end - 1][code]
+        total = np.fromiter((k[-1] for k in known), np.int64, len(known))[code]
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
         sums = np.concatenate([[0], np.cumsum(total)])
-        bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        before = sums[:-1] - np.repeat(sums[bounds[:-1]], np.diff(bounds))
-        counts = values[ragged((end - size)[code], size[code])] + np.repeat(before, size[code])
-        cuts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        return [np.concatenate([[0], counts[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+        return TwoLevels(known, code, bounds, sums)
+
+    def counts(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """For each text, counts[i] is the number of tokens of text[:i]; counts[0] is 0."""
+        levels = self.two_levels(texts)
+        return [levels.flat(i) for i in range(len(texts))]
+
+
+@dataclass
+class TwoLevels:
+    """The counts of some texts at every prefix, without an entry per character.
+
+    ``known`` holds the counts at the prefixes of each distinct unit, ``code`` the units of all texts one after the
+    other, ``bounds`` where each text's units begin, ``sums`` the tokens before each unit since the first text.
+    """
+
+    known: list[array]
+    code: np.ndarray
+    bounds: np.ndarray
+    sums: np.ndarray
+
+    def total(self, text: int) -> int:
+        return int(self.sums[self.bounds[text + 1]] - self.sums[self.bounds[text]])
+
+    def flat(self, text: int) -> np.ndarray:
+        """counts[i] is the number of tokens of the text's first i code points."""
+        first, last = self.bounds[text], self.bounds[text + 1]
+        parts = [self.known[c] for c in self.code[first:last]]
+        before = np.repeat(self.sums[first:last] - self.sums[first], np.fromiter(map(len, parts), np.int64, len(parts)))
+        return np.concatenate([[0], np.concatenate(parts) + before]) if parts else np.zeros(1, np.int64)
+
+    def longest_within(self, text: int, budget: int) -> int:
+        """Code points of the longest prefix with at most ``budget`` tokens.
+
+        Counts may fall when a prefix grows inside a unit, but not from unit to unit: the last unit that holds such a
+        prefix is found from the sums and each unit's least count, the prefix itself in that unit's counts.
+        """
+        first, last = self.bounds[text], self.bounds[text + 1]
+        before = self.sums[first:last] - self.sums[first]
+        # No prefix of a unit has fewer tokens than one, so units that begin at the budget hold none.
+        for at in range(int(np.searchsorted(before, budget, "left")) - 1, -1, -1):
+            fitting = np.flatnonzero(np.asarray(self.known[self.code[first + at]]) <= budget - before[at])
+            if len(fitting):
+                return sum(len(self.known[c]) for c in self.code[first:first + at]) + int(fitting[-1]) + 1
+        return 0
 
 
 @lru_cache(maxsize=2)
@@ -181,16 +231,13 @@ def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-def longest_within(counts: np.ndarray, budget: int) -> int:
-    """Code points of the longest prefix with at most ``budget`` tokens. Counts may fall when a prefix grows."""
-    return int(np.nonzero(counts <= max(budget, 0))[0][-1])
-
-
 def _counted(rows: Iterator[tuple], vocabulary: str) -> Iterator[tuple]:
+    """(key, bytes, code points, counts of a block in two levels, number of the text in it)."""
     own = counter(vocabulary)
     for block in blocks_of(((key, text or "") for key, text in rows), lambda row: len(row[1]), BLOCK_CHARS):
-        for (key, text), counts in zip(block, own.counts([text for _, text in block])):
-            yield key, len(text.encode()), counts
+        levels = own.two_levels([text for _, text in block])
+        for at, (key, text) in enumerate(block):
+            yield key, len(text.encode()), len(text), levels, at
 
 
 def prefix_counts(df: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -198,7 +245,7 @@ def prefix_counts(df: DataFrame, vocabulary: str, id_column: str = "doc_id", tex
     key = df.schema[id_column].dataType.simpleString()
     return map_rows(df, [F.col(id_column), F.col(text_column)],
                     f"`{id_column}` {key}, n_bytes bigint, counts array<int>",
-                    lambda rows: _counted(rows, vocabulary), spread=True)
+                    lambda rows: ((k, n, levels.flat(at)) for k, n, _, levels, at in _counted(rows, vocabulary)), spread=True)
 
 
 def token_budget(df: DataFrame, vocabulary: str, budget: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -208,9 +255,9 @@ def token_budget(df: DataFrame, vocabulary: str, budget: int, id_column: str = "
     """
 
     def rows(texts: Iterator[tuple]) -> Iterator[tuple]:
-        for key, n_bytes, counts in _counted(texts, vocabulary):
-            total = int(counts[-1])
-            yield key, n_bytes, total, total > budget, longest_within(counts, budget)
+        for key, n_bytes, length, levels, at in _counted(texts, vocabulary):
+            total = levels.total(at)
+            yield key, n_bytes, total, total > budget, length if total <= budget else levels.longest_within(at, max(budget, 0))
 
     key = df.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {key}, n_bytes bigint, n_tokens bigint, over_limit boolean, chars_within_limit bigint"
