@@ -3,7 +3,8 @@
 A visitor walks the parts of each turn in order. Text is escaped; images, audio and documents become ordered
 placeholders, with a record of what they refer to, where they stand and how many tokens they expand to. The
 template marks turns with control strings. Inside contents and roles every control string is broken by an escape
-sign, and the sign itself is doubled, so the text can be read back exactly. The loss mask covers the content
+sign, also where it is spread over neighbouring text parts, and the sign itself is doubled, so the text can be read
+back exactly. The loss mask covers the content
 of assistant turns and nothing else.
 
 A conversation is one row of output, so its turns meet in one task; conversations are spread.
@@ -76,10 +77,15 @@ class Expansion:
 
 @dataclass
 class Flattener:
-    """Visitor over the content parts of one conversation; ``out`` is its formatted text so far."""
+    """Visitor over the content parts of one conversation; ``out`` is its formatted text so far.
+
+    ``said`` holds text parts that stand side by side: they are escaped as one text, as a control string may begin in
+    one of them and end in another.
+    """
 
     expansion: Expansion
     out: list[str] = field(default_factory=list)
+    said: list[str] = field(default_factory=list)
     length: int = 0
     attachments: list[dict] = field(default_factory=list)
 
@@ -92,7 +98,12 @@ class Flattener:
             getattr(self, f"visit_{part['type'] or 'text'}", self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
-        self.write(escaped(part["text"] or ""))
+        self.said.append(part["text"] or "")
+
+    def flush(self) -> None:
+        if self.said:
+            self.write(escaped("".join(self.said)))
+            self.said.clear()
 
     def visit_image(self, part: dict) -> None:
         self._attach("image", part, self.expansion.image(part["width"], part["height"]))
@@ -107,6 +118,7 @@ class Flattener:
         self._attach("document", part, 0)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
+        self.flush()
         self.attachments.append({"position": len(self.attachments), "kind": kind, "ref": part["ref"],
                                  "at": self.length, "tokens": tokens})
         self.write(PLACEHOLDERS[kind])
@@ -120,6 +132,7 @@ def formatted(turns: list[dict], expansion: Expansion) -> tuple[str, list[dict],
         start = visitor.length
         for part in turn["parts"] or []:
             visitor.visit(part)
+        visitor.flush()
         if turn["role"] == LOSS_ROLE:
             loss.append({"start": start, "end": visitor.length})
         visitor.write(END + "\n")

@@ -37,7 +37,7 @@ from millrace.plans.durable import staged
 WIDTH, SIMILARITY = 5, 80  # words of a shingle, percent
 TABLES, ROWS = 16, 3
 BINS, PLANES = 512, 5  # of the sketch: which bins are used, and four bits of what is in them
-DEVIATIONS = 4.0
+DEVIATIONS = 6.0  # a pair at the limit is lost with less than 1 in 10 million
 BLOCK_SHINGLES = 1 << 19
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -102,25 +102,25 @@ def bit_sketch(sets: list[np.ndarray]) -> np.ndarray:
 
 def signatures(docs: DataFrame, width: int, tables: int = TABLES, rows: int = ROWS, id_column: str = "doc_id",
                text_column: str = "text") -> DataFrame:
-    """(id, n_shingles, set_id, u, v, sketch); the last four are null for empty sets."""
+    """(id, text_hash, n_shingles, set_id, u, v, sketch); the last four are null for empty sets."""
 
     def signed(texts: Iterator[tuple]) -> Iterator[tuple]:
-        found = ((key, shingles(text, width)) for key, text in texts)
-        for block in blocks_of(found, lambda row: len(row[1]), BLOCK_SHINGLES):
-            full = [s for _, s in block if len(s)]
+        found = ((key, hashed, shingles(text, width)) for key, hashed, text in texts)
+        for block in blocks_of(found, lambda row: len(row[2]), BLOCK_SHINGLES):
+            full = [s for _, _, s in block if len(s)]
             low = minimums(full, 2 * tables * rows) if full else None
             if full:
                 keys, bits = small_hashes(low, rows).view(np.int64), bit_sketch(full)
             at = 0
-            for key, own in block:
+            for key, hashed, own in block:
                 if len(own):
-                    yield (key, len(own), xxhash.xxh3_128_digest(own.tobytes()), keys[at, :tables], keys[at, tables:], bits[at])
+                    yield (key, hashed, len(own), xxhash.xxh3_128_digest(own.tobytes()), keys[at, :tables], keys[at, tables:], bits[at])
                     at += 1
                 else:
-                    yield key, 0, None, None, None, None
+                    yield key, hashed, 0, None, None, None, None
 
-    return map_rows(docs, [F.col(id_column), utf8(text_column)],
-                    "doc_id bigint, n_shingles bigint, set_id binary, u array<bigint>, v array<bigint>, sketch array<bigint>",
+    return map_rows(docs, [F.col(id_column), F.xxhash64(utf8(text_column)), utf8(text_column)],
+                    "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, u array<bigint>, v array<bigint>, sketch array<bigint>",
                     signed, spread=True)
 
 
@@ -168,8 +168,10 @@ def similar(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
 def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: int, rows: int,
           id_column: str, text_column: str) -> DataFrame:
     """Confirmed links (src, dst) that connect whatever the similarity connects. ``nodes`` is staged."""
-    texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("node"), utf8(text_column).alias("text"))
-    texts = texts.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    # An id may come with several texts: a node's text is the one that it was made of.
+    texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("doc_id"), utf8(text_column).alias("text"))
+    texts = (texts.withColumn("text_hash", F.xxhash64("text")).join(nodes.select("node", "doc_id", "text_hash"), ["doc_id", "text_hash"])
+             .select("node", "text").dropDuplicates(["node"]))
 
     # Small hashes that at least two nodes share, and the keys made of pairs of them.
     halves = nodes.select("node", F.posexplode(F.concat("u", "v")).alias("pos", "half"))
@@ -228,20 +230,24 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = SIMILARITY, t
     """(doc_id, n_shingles, component_id, kept) for every row; component_id is the smallest id that links reach."""
     signed = staged(signatures(docs, width, tables, rows, id_column, text_column), "signatures")
     named = signed.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = staged(named.groupBy("set_id").agg(F.min(F.struct("doc_id", "n_shingles", "u", "v", "sketch")).alias("_s"))
-                   .select("set_id", F.col("_s.doc_id").alias("node"), "_s.n_shingles", "_s.u", "_s.v", "_s.sketch"), "nodes")
+    # Nodes are the distinct sets, numbered once they are made; the written copy keeps the numbers.
+    nodes = staged(named.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "u", "v", "sketch")).alias("_s"))
+                   .select("set_id", "_s.*", F.monotonically_increasing_id().alias("node")), "nodes")
     found = links(docs, nodes, width, percent, tables, rows, id_column, text_column)
     # A repeated id ties the nodes of its texts together.
-    sets = nodes.select("set_id", "node")
+    sets = nodes.select("set_id", "node", "doc_id")
     repeated = (named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"))
-    ties = (named.select("doc_id", "set_id").join(repeated, "doc_id").join(sets, "set_id")
-            .where("doc_id <> node").select(F.col("doc_id").alias("src"), F.col("node").alias("dst")))
+    owned = named.select("doc_id", "set_id").distinct().join(repeated, "doc_id").join(sets.drop("doc_id"), "set_id")
+    ties = (owned.join(owned.groupBy("doc_id").agg(F.min("node").alias("dst")), "doc_id").where("node <> dst")
+            .select(F.col("node").alias("src"), "dst").distinct())
     edges = staged(found.unionByName(ties), "links")
     if edges.isEmpty():
-        classes = sets.withColumn("component", F.col("node"))
+        classes = sets.select("set_id", F.col("doc_id").alias("component"))
     else:
-        label = connected_components(edges).withColumnRenamed("id", "node")
-        classes = sets.join(label, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
+        label = connected_components(edges).withColumnRenamed("id", "node").withColumnRenamed("component", "_class")
+        joined = staged(sets.join(label, "node", "left").select("set_id", "doc_id", F.coalesce("_class", "node").alias("_class")), "classes")
+        least = joined.groupBy("_class").agg(F.min("doc_id").alias("component"))
+        classes = joined.join(least, "_class").select("set_id", "component")
     return (signed.join(classes, "set_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
@@ -252,11 +258,11 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, percent: int = SIMILARITY,
                 text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their component; of rows that repeat such an id, one stays."""
     classes = components(docs, width, percent, id_column=id_column, text_column=text_column)
-    dropped = classes.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    dropped = classes.where(~F.col("kept")).select(F.col("doc_id").alias(id_column)).distinct()
     repeated = (classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-                .where("_n > 1").select(F.col("doc_id").alias("_again")))
-    alone = docs.join(dropped, docs[id_column] == F.col("_gone"), "left_anti")
+                .where("_n > 1").select(F.col("doc_id").alias(id_column)))
+    alone = docs.join(dropped, id_column, "left_anti")
     if repeated.isEmpty():
         return alone
-    once = alone.join(repeated, alone[id_column] == F.col("_again"), "left_semi").dropDuplicates([id_column])
-    return alone.join(repeated, alone[id_column] == F.col("_again"), "left_anti").unionByName(once)
+    once = alone.join(repeated, id_column, "left_semi").dropDuplicates([id_column])
+    return alone.join(repeated, id_column, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))

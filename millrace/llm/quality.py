@@ -2,10 +2,12 @@
 
 Per document some shares are measured as whole numbers. Their distribution per (language, source) is kept as a
 mergeable quantile sketch: counts of values in buckets that are exact up to 63 and within 3 percent above, so
-partial sketches are added up by a sum and the result does not depend on the order of the rows. The limits
-are fences around the quartiles, q3 + 3 (q3 - q1) + slack and, for word length, q1 - 3 (q3 - q1) - slack. Groups of
-fewer than 20 documents are judged by the merged sketch of their language. The limits are joined to the
-documents and those beyond any of them are rejected.
+partial sketches are added up by a sum and the result does not depend on the order of the rows. The quartiles of a
+group are mixed with those of its language's merged sketch, which weighs as much as 20 documents: a large source has its
+own limits, a small one nearly those of the language, and no size switches from one to the other. The limits are fences
+around the quartiles, q3 + 3 (q3 - q1) + slack and, for word length, q1 - 3 (q3 - q1) - slack. A share's fence is never
+above the rule's highest limit, so that a group in which most documents are poor still has one. The limits are joined
+to the documents and those beyond any of them are rejected.
 
 Defined results: null text counts as empty, and as such fails the base rule; null language or source is a group
 like any other; rows that repeat are measured and counted each; an empty table gives no rows; other columns are
@@ -21,17 +23,17 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from millrace.plans.durable import staged
 from millrace.plans.sizing import balanced, planned_bytes
 
-MIN_GROUP = 20
+LANGUAGE_WEIGHT = 20
 BROADCAST_BYTES = 8 << 20
 SPACE = "[\\x20\\x09-\\x0D]"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper")
-# Rule: numerator, denominator, factor, slack above, slack below (None: no lower limit).
+# Rule: numerator, denominator, factor, slack above, slack below (None: no lower limit), highest limit (None: any).
 RULES = {
-    "symbols": ("n_symbols", "word_chars", 1000, 50, None),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, None),
-    "repeats": ("n_repeat_words", "n_words", 1000, 300, None),
-    "upper": ("n_upper", "word_chars", 1000, 100, None),
-    "word_length": ("word_chars", "n_words", 10, 10, 10),
+    "symbols": ("n_symbols", "word_chars", 1000, 50, None, 500),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, None, 700),
+    "repeats": ("n_repeat_words", "n_words", 1000, 300, None, 700),
+    "upper": ("n_upper", "word_chars", 1000, 100, None, 700),
+    "word_length": ("word_chars", "n_words", 10, 10, 10, None),
 }
 
 
@@ -71,7 +73,7 @@ def _without(text: Column, pattern: str) -> Column:
 
 
 def share(rule: str) -> Column:
-    part, whole, factor, _, _ = RULES[rule]
+    part, whole, factor, *_ = RULES[rule]
     return F.floor(F.col(part) * factor / F.greatest(F.col(whole), F.lit(1))).cast("bigint")
 
 
@@ -88,34 +90,34 @@ def sketches(measured: DataFrame, groups: list[str]) -> DataFrame:
             .groupBy(*groups, "rule", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
-def fences(counts: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, support, <rule>_above, <rule>_below): the limits read off each sketch."""
+def quartiles(counts: DataFrame, groups: list[str], support: str, low: str, high: str) -> DataFrame:
+    """(groups, rule, support, low, high): size and first and third quartile of each sketch."""
     inside = W.partitionBy(*groups, "rule")
     running = counts.select("*", F.sum("n").over(inside.orderBy("bucket")).alias("_upto"), F.sum("n").over(inside).alias("_all"))
-    quartiles = (running.groupBy(*groups, "rule").agg(
-        F.max("_all").alias("support"),
-        F.min(F.when(4 * F.col("_upto") >= F.col("_all"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(4 * F.col("_upto") >= 3 * F.col("_all"), F.col("bucket"))).alias("q3")))
-    reach = 3 * (F.col("q3") - F.col("q1"))
-    limits = []
-    for rule, (_, _, _, above, below) in RULES.items():
-        mine = F.col("rule") == rule
-        limits.append(F.max(F.when(mine, F.col("q3") + reach + above)).alias(f"{rule}_above"))
-        if below is not None:
-            limits.append(F.max(F.when(mine, F.col("q1") - reach - below)).alias(f"{rule}_below"))
-    return quartiles.groupBy(*groups).agg(F.max("support").alias("support"), *limits)
+    return running.groupBy(*groups, "rule").agg(
+        F.max("_all").alias(support),
+        F.min(F.when(4 * F.col("_upto") >= F.col("_all"), F.col("bucket"))).alias(low),
+        F.min(F.when(4 * F.col("_upto") >= 3 * F.col("_all"), F.col("bucket"))).alias(high))
 
 
 def thresholds(measured: DataFrame, language: str = "lang", source: str = "source") -> DataFrame:
-    """(language, source, limits): a source's own limits, or those of the language where it has few documents."""
+    """(language, source, <rule>_above, <rule>_below): fences around a source's quartiles mixed with its language's."""
     own = staged(sketches(measured, [language, source]), "sketches")
     merged = own.groupBy(language, "rule", "bucket").agg(F.sum("n").alias("n"))
-    narrow, wide = fences(own, [language, source]), fences(merged, [language])
-    limits = [c for c in wide.columns if c not in (language, "support")]
-    wide = wide.select(F.col(language).alias("_lang"), *[F.col(c).alias(f"_{c}") for c in limits])
-    enough = F.col("support") >= MIN_GROUP
-    return (narrow.join(wide, narrow[language].eqNullSafe(wide["_lang"]))
-            .select(language, source, *[F.when(enough, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in limits]))
+    narrow = quartiles(own, [language, source], "_n", "_q1", "_q3")
+    wide = quartiles(merged, [language], "_m", "_p1", "_p3").withColumnsRenamed({language: "_lang", "rule": "_rule"})
+    joined = narrow.join(wide, narrow[language].eqNullSafe(wide["_lang"]) & (narrow["rule"] == wide["_rule"]))
+    mixed = lambda a, b: (F.col("_n") * F.col(a) + LANGUAGE_WEIGHT * F.col(b)) / (F.col("_n") + LANGUAGE_WEIGHT)
+    ends = joined.select(language, source, "rule", mixed("_q1", "_p1").alias("q1"), mixed("_q3", "_p3").alias("q3"))
+    reach = 3 * (F.col("q3") - F.col("q1"))
+    limits = []
+    for rule, (_, _, _, above, below, highest) in RULES.items():
+        mine = F.col("rule") == rule
+        fence = F.floor(F.col("q3") + reach + above)
+        limits.append(F.max(F.when(mine, fence if highest is None else F.least(fence, F.lit(highest)))).alias(f"{rule}_above"))
+        if below is not None:
+            limits.append(F.max(F.when(mine, F.ceil(F.col("q1") - reach - below))).alias(f"{rule}_below"))
+    return ends.groupBy(language, source).agg(*limits)
 
 
 def base_failed() -> Column:
@@ -124,6 +126,8 @@ def base_failed() -> Column:
 
 def judge(measured: DataFrame, language: str = "lang", source: str = "source") -> DataFrame:
     """``measured`` (written, as it is read twice) with base_failed and kept."""
+    if clash := {"base_failed", "kept"} & set(measured.columns):
+        raise ValueError(f"columns {sorted(clash)} are there already")
     limits = staged(thresholds(measured, language, source), "limits")
     limits = limits.withColumnsRenamed({language: "_lang", source: "_source"})
     small = planned_bytes(limits) <= BROADCAST_BYTES

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -247,3 +248,80 @@ def test_ibans_before_words():
     assert found(f"PAY {two} {one} AB12 CD") == [two, one]
     assert found(f"{one}, {two}. {one[:-1]}3 NO") == [one, two]
     assert found(f"AB12 {two} NOW") == [two]
+
+
+def test_control_strings_over_several_parts():
+    """Every split of every control string over two and three parts stays one turn, also across nulls and by placeholders."""
+    part = lambda text, kind="text": None if text is None else dict(type=kind, text=text, ref="r", width=None, height=None, seconds=None, pages=None)
+    for control in (*chat.CONTROLS, chat.SIGN, chat.SIGN + "n"):
+        for i in range(len(control) + 1):
+            for j in range(i, len(control) + 1):
+                for between in ([], [None], [part("")]):
+                    pieces = ["a" + control[:i], control[i:j], control[j:] + "b"]
+                    parts = [part(pieces[0]), *between, part(pieces[1]), *between, part(pieces[2])]
+                    turns = [{"role": "user", "parts": parts}, {"role": "assistant", "parts": [part("x")]}]
+                    text, loss, _ = chat.formatted(turns, chat.Expansion())
+                    assert chat.read_turns(text) == [("user", "a" + control + "b"), ("assistant", "x")]
+                    assert [text[s["start"]:s["end"]] for s in loss] == ["x"]
+            sides = [part(control[:i]), part("", "image"), part(control[i:])]
+            text, _, attached = chat.formatted([{"role": "user", "parts": sides}, {"role": "user", "parts": [part("y")]}], chat.Expansion())
+            assert len(chat.read_turns(text)) == 2 and text[attached[0]["at"]:].startswith("<|image|>")
+
+
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    """Each text of a repeated id links on its own, and the id ties both groups together."""
+    draw = random.Random(2)
+    text = lambda: [f"w{draw.randrange(9000)}" for _ in range(200)]
+    a, b = text(), text()
+    near = lambda words, at: " ".join(words[:at] + ["changed"] + words[at + 1:])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (10, near(a, 5)), (12, near(a, 190)), (11, near(b, 7)), (13, near(b, 100)), (20, " ".join(text()))]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame([(*r, "g", "h") for r in order], "doc_id bigint, text string, _gone string, _again string")
+        assert {r.doc_id: r.component_id for r in near_dup.components(df).collect()} == {1: 1, 10: 1, 11: 1, 12: 1, 13: 1, 20: 20}
+        left = near_dup.deduplicate(df)
+        assert sorted(r.doc_id for r in left.collect()) == [1, 20] and left.columns == df.columns
+
+
+def test_no_pair_at_the_limit_is_ruled_out(spark):
+    """20,000 pairs of sets at exactly the similarity, small and large: sizes and sketches let all of them through."""
+    draw = np.random.default_rng(6)
+    rows = []
+    for i in range(20_000):
+        common = int(draw.choice([4, 40, 400, 1600]))
+        each = common // 8
+        values = draw.integers(0, 1 << 64, common + 2 * each, dtype=np.uint64)
+        rows.append((np.sort(values[:common + each]), np.sort(np.concatenate([values[:common], values[common + each:]]))))
+    flat = [s for pair in rows for s in pair]
+    sketches = np.concatenate([near_dup.bit_sketch(flat[i:i + 4000]) for i in range(0, len(flat), 4000)])
+    pairs = spark.createDataFrame([(i, len(a), len(b), sketches[2 * i].tolist(), sketches[2 * i + 1].tolist()) for i, (a, b) in enumerate(rows)],
+                                  "id int, na int, nb int, sa array<bigint>, sb array<bigint>")
+    sides = [pairs.select("id", F.col(f"n{x}").alias("n_shingles"), F.col(f"s{x}").alias("sketch")).alias(x) for x in "ab"]
+    joined = sides[0].join(sides[1], F.col("a.id") == F.col("b.id"))
+    assert joined.where(~near_dup.plausible("a", "b", 80)).count() == 0
+
+
+def test_poor_groups_still_have_limits(spark):
+    """Where many documents of a source repeat lines, one that repeats nothing but lines goes; clean ones stay."""
+    draw = random.Random(9)
+    line = lambda: " ".join(f"w{draw.randrange(5000)}" for _ in range(9))
+    clean = ["\n".join(line() for _ in range(20)) for _ in range(60)]
+    poor = ["\n".join([line() for _ in range(11)] + [line()] * 9) for _ in range(40)]
+    worst = "\n".join([line()] * 3 + [f"{line()}" for _ in range(2)] + ["the very same words on a line once more"] * 45)
+    rows = [(i, t, "en", "a") for i, t in enumerate(clean + poor)] + [(1000, worst, "en", "a")] + [(2000, worst, "de", "b")]
+    measured = quality.measure(spark.createDataFrame(rows, "doc_id int, text string, lang string, source string"))
+    limits = quality.thresholds(measured)
+    assert limits.where("dup_lines_above >= 1000 or repeats_above >= 1000 or symbols_above >= 1000 or upper_above >= 1000").isEmpty()
+    kept = {r.doc_id: r.kept for r in quality.judge(measured).collect()}
+    assert all(kept[i] for i in range(60)) and not kept[1000]
+    for name in ("kept", "base_failed"):
+        with pytest.raises(ValueError):
+            quality.judge(measured.withColumn(name, F.lit(1)))
+
+
+def test_group_sizes_do_not_switch_limits(spark):
+    """A group of 19 and one of 20 like documents have nearly the same limits: the language's weight fades evenly."""
+    rows = [("en", "big", 100, 0)] * 400 + [("en", f"s{n}", 100, 20) for n in (19, 20) for _ in range(n)]
+    df = spark.createDataFrame(rows, "lang string, source string, n_lines bigint, n_dup_lines bigint")
+    df = df.withColumns({c: F.lit(100).cast("bigint") for c in ("n_words", "word_chars")} | {c: F.lit(0).cast("bigint") for c in ("n_symbols", "n_repeat_words", "n_upper")})
+    limit = {r.source: r.dup_lines_above for r in quality.thresholds(df).collect()}
+    assert abs(limit["s19"] - limit["s20"]) <= 10 < limit["s19"] - limit["big"]
