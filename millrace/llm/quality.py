@@ -30,8 +30,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 # Rule: numerator, denominator, factor, slack above, slack below (None: no lower limit), highest limit (None: any).
 RULES = {
     "symbols": ("n_symbols", "word_chars", 1000, 50, None, 500),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, None, 700),
-    "repeats": ("n_repeat_words", "n_words", 1000, 300, None, 700),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 400, None, 700),
+    "repeats": ("n_repeat_words", "n_words", 1000, 400, None, 700),
     "upper": ("n_upper", "word_chars", 1000, 100, None, 700),
     "word_length": ("word_chars", "n_words", 10, 10, 10, None),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.llm import (chat, decontaminate, html_text, near_dup, packing, pii, quality, resampling, sharding, tokens, topk, toxicity,
                           vector_codes)
 from millrace.llm.batches import small_batches
-from millrace.llm.sql import SQL  # noqa: F401  (the other half of what is registered)
+from millrace.llm.sql import SHARD_LIMIT, SQL  # noqa: F401  (SQL is the other half of what is registered)
 from millrace.plans.durable import staged
 from millrace.session import configure
 from millrace.sources.tables import table
@@ -27,7 +27,7 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.assign(table(spark, folder, "documents"))
+    return sharding.assign(table(spark, folder, "documents"), SHARD_LIMIT)
 
 
 def op4_near_dup(spark: SparkSession, folder: str) -> DataFrame:

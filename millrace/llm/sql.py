@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import sharding
-
+SHARD_LIMIT = 256 << 10  # splits the tables at every scale; no document of theirs is longer
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
@@ -14,7 +13,7 @@ SHARDING = f"""
     p AS (SELECT doc_id, n_bytes, left(bits, CAST(d AS INT)) AS shard, CAST(d AS INT) AS local_depth FROM k, range(0, 49) AS r(d)),
     s AS (SELECT shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes FROM p GROUP BY 1),
     f AS (SELECT p.*, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY local_depth) AS n
-        FROM p JOIN s USING (shard) WHERE shard_bytes <= {sharding.SHARD_BYTES})
+        FROM p JOIN s USING (shard) WHERE shard_bytes <= {SHARD_LIMIT})
     SELECT doc_id, n_bytes, shard, local_depth, shard_bytes, true AS fits FROM f WHERE n = 1"""
 
 # Checksums byte by byte, from a table of 256 remainders.

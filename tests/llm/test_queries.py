@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from millrace.compare import difference, normal_rows, sql_rows
 from millrace.llm.queries import QUERIES, SQL
+from millrace.llm.sql import SHARD_LIMIT
 from millrace.sources.tables import table
 
 from tests.llm import brute
@@ -55,7 +56,8 @@ def test_toxicity_of_labelled_documents(spark, small):
 
 def test_sharding(spark, small, docs):
     rows = {r.doc_id: (r.shard, r.local_depth, r.shard_bytes) for r in result(spark, small, 3).collect()}
-    assert rows == brute.shards([(k, len(t.encode())) for k, t in docs], 64 << 20)
+    assert rows == brute.shards([(k, len(t.encode())) for k, t in docs], SHARD_LIMIT)
+    assert len({shard for shard, _, _ in rows.values()}) > 1
 
 
 def test_near_duplicates(spark, small, docs):
