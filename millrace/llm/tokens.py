@@ -34,10 +34,10 @@ ASCII_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9
 LONG_CONTRACTIONS = ("'re", "'ve", "'ll")
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
-CACHED_UNITS = 300_000
-CACHED_PIECES = 150_000
+CACHED_UNITS = 500_000
+CACHED_PIECES = 200_000
 CACHED_PAIRS = 400_000
-CACHED_HEADS = 100_000
+CACHED_HEADS = 200_000
 HEADS = (8, 5)
 LONGEST_CACHED = 64
 BLOCK_CHARS = 1 << 20
@@ -67,7 +67,10 @@ class PrefixCounter:
             if token == len(self.left):
                 self.left.append(number[left])
                 self.right.append(number[right])
-        # Every end of a token, with the token's number where the end is itself a token.
+        # Every end of a token, with the token's number where the end is itself a token. A byte is the character of its
+        # number here, so that plain text needs no translation.
+        plain = str.maketrans({letter: chr(b) for b, letter in enumerate(self.letters)})
+        number = {token.translate(plain): i for token, i in number.items()}
         self.ends = {token[i:]: -1 for token in number for i in range(len(token))} | number
         special = [t["content"] for t in data["added_tokens"]]
         self.special = regex.compile("|".join(regex.escape(s) for s in special)) if special else None
@@ -75,8 +78,9 @@ class PrefixCounter:
         self.printable = re.compile("[ -~]+")
         self.ascii_pattern = re.compile(ASCII_PATTERN)
         self.unit = re.compile(f"[{SPACE}]*+[^{SPACE}]++|[{SPACE}]++")
+        self.word = re.compile(r"( ?[A-Za-z]+)([!-&(-/:;=>?@\[-`{}~]*)")
         self.leading = re.compile(f"[{SPACE}]*+")
-        self.heads: dict[str, tuple[list[int], list[int]]] = {}
+        self.heads: dict[str, tuple[array, array]] = {}
         self.stays = TwoGenerations(self._stays, CACHED_PAIRS)
         self.pieces = TwoGenerations(self._piece_counts, CACHED_PIECES, LONGEST_CACHED)
         self.units = TwoGenerations(self._unit_counts, CACHED_UNITS, LONGEST_CACHED)
@@ -100,7 +104,7 @@ class PrefixCounter:
                 before, b = b + 1, self.left[b]
 
     def _byte_counts(self, piece: str) -> list[int]:
-        """Counts at every byte prefix of one piece of the pattern, in byte letters.
+        """Counts at every byte prefix of one piece of the pattern, each byte a character.
 
         The table of a prefix does not depend on what follows, so pieces with the same head share its rows.
         """
@@ -108,12 +112,12 @@ class PrefixCounter:
         last, count = [-1], [0]
         for size in HEADS:
             if len(piece) > size and (known := heads.get(piece[:size])):
-                last, count = known[0][:], known[1][:]
+                last, count = known[0].tolist(), known[1].tolist()
                 break
         end = len(last) - 1
         while end < len(piece):
             if end in HEADS and len(heads) < CACHED_HEADS:
-                heads[piece[:end]] = (last[:], count[:])
+                heads[piece[:end]] = (array("i", last), array("I", count))
             start, end = end, end + 1
             token = ends[piece[start:end]]
             while start and (token < 0 or not stays[last[start] << 32 | token]):
@@ -123,14 +127,13 @@ class PrefixCounter:
             count.append(count[start] + 1)
         return count
 
-    def _piece_counts(self, piece: str) -> list[int]:
-        """Counts at the code point prefixes 1, 2, ... of one piece."""
+    def _piece_counts(self, piece: str) -> array:
+        """Counts at the code point prefixes 1, 2, ... of one piece. Arrays, as the collector need not look into them."""
         if piece.isascii():
-            return self._byte_counts(piece.replace(" ", self.letters[32]) if piece.isprintable()
-                                     else "".join([self.letters[b] for b in piece.encode()]))[1:]
+            return array("I", self._byte_counts(piece)[1:])
         raw = piece.encode()
-        count = self._byte_counts("".join([self.letters[b] for b in raw]))
-        return [count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80]
+        count = self._byte_counts(raw.decode("latin-1"))
+        return array("I", [count[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80])
 
     def _plain_counts(self, text: str) -> list[int]:
         """Counts for white space followed by other characters, without special strings."""
@@ -150,6 +153,12 @@ class PrefixCounter:
         return found
 
     def _unit_counts(self, unit: str) -> array:
+        if word := self.word.fullmatch(unit):  # one or two pieces, none of them white space or a special string
+            counts = self.pieces[word[1]]
+            if not word[2]:
+                return counts
+            base = counts[-1]
+            return counts + array("I", [base + c for c in self.pieces[word[2]]])
         if self.special is None or not self.special.search(unit):
             return array("I", self._plain_counts(unit))
         found, base, at = [], 0, 0
