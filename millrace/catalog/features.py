@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from millrace.catalog import ctes
 from millrace.functions.numeric import row_count
 from millrace.functions.vectors import spread
-from millrace.operators import features, linear
+from millrace.operators import dictionary, features, linear
+from millrace.plans.durable import staged
 from millrace.plans.sizing import balanced
 from millrace.registry import query
 from millrace.sources import views
@@ -81,11 +82,11 @@ def fea5(spark, folder):
   df AS (SELECT item AS term, count(*) AS df FROM baskets GROUP BY item)
   SELECT term, df AS n, round(ln((m + 1) / (df + 1)), 6) AS idf, round(df * ln((m + 1) / (df + 1)), 2) AS total FROM df, m""")
 def fea6(spark, folder):
-    b = views.baskets(spark, folder)
-    model = Pipeline(stages=[ft.CountVectorizer(inputCol="items", outputCol="tf", vocabSize=features.term_count(b, "items")),
-                             ft.IDF(inputCol="tf", outputCol="w")]).fit(b)
-    rows = features.term_rows(model.transform(b), "w", model.stages[0].vocabulary)
-    return rows.groupBy("term").agg(row_count(), F.round(F.max("weight"), 6).alias("idf"), F.round(F.sum("weight"), 2).alias("total"))
+    b = staged(views.baskets(spark, folder), "baskets")
+    counts = dictionary.term_counts(b, "l_orderkey", "items")
+    learned = dictionary.learn(counts, b.count())
+    weight = dictionary.numbered(counts, learned).withColumn("idf", dictionary.idf(learned))
+    return weight.groupBy("term").agg(row_count(), F.round(F.max("idf"), 6).alias("idf"), F.round(F.sum(F.col("n") * F.col("idf")), 2).alias("total"))
 
 
 @query("fea7_count_vectorizer", f"""WITH {_TOKENS}, w AS (SELECT doc_id, unnest(t) AS term FROM tok)
@@ -100,9 +101,9 @@ def fea7(spark, folder):
 
 @query("fea7_learned_vocabulary", f"""WITH {ctes.BASKETS} SELECT item AS term, count(*) AS n FROM baskets GROUP BY item HAVING count(*) >= 2""")
 def fea7_learned(spark, folder):
-    b = views.baskets(spark, folder)
-    model = ft.CountVectorizer(inputCol="items", outputCol="f", vocabSize=features.term_count(b, "items"), minDF=2).fit(b)
-    return features.term_rows(model.transform(b), "f", model.vocabulary).groupBy("term").agg(row_count())
+    b = staged(views.baskets(spark, folder), "baskets")
+    counts = dictionary.term_counts(b, "l_orderkey", "items")
+    return dictionary.numbered(counts, dictionary.learn(counts, b.count(), min_documents=2)).groupBy("term").agg(row_count())
 
 
 @query("fea8_word2vec")

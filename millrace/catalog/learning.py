@@ -19,7 +19,7 @@ from millrace.functions.numeric import row_count
 from millrace.operators import evaluation as ev
 from millrace.operators import models, neighbours, patterns, sampling
 from millrace.operators.custom import UntrainedClassifier
-from millrace.operators.features import assemble, text_corpus, to_libsvm, vocabulary_table
+from millrace.operators.features import assemble, text_corpus, to_libsvm
 from millrace.operators.graph import power_iteration_clusters
 from millrace.operators.joins import band_pairs
 from millrace.plans.durable import fresh_path, staged
@@ -363,17 +363,17 @@ def clu5(spark, folder):
 def _corpus(spark, folder):
     """Counted terms, written once because every round of a fit reads them."""
     docs = balanced(table(spark, folder, "documents").select("doc_id", "text"))
-    corpus, vocabulary = text_corpus(docs, "doc_id", "text", 10_000, ["the", "of", "and", "is", "de", "la"])
-    return balanced(staged(corpus, "corpus")), vocabulary
+    corpus, learned = text_corpus(docs, "doc_id", "text", 10_000, ["the", "of", "and", "is", "de", "la"])
+    return balanced(corpus), learned.terms
 
 
 @query("clu6_lda_online")
 def clu6(spark, folder):
-    corpus, vocabulary = _corpus(spark, folder)
+    corpus, terms = _corpus(spark, folder)
     model = cu.LDA(k=20, maxIter=10, optimizer="online", seed=1).fit(corpus)
     weights = F.inline(F.arrays_zip("termIndices", "termWeights"))
     topics = model.describeTopics(5).select("topic", weights).withColumnsRenamed({"termIndices": "pos", "termWeights": "weight"})
-    return topics.join(vocabulary_table(spark, vocabulary), "pos").select("topic", "term", "weight")
+    return topics.join(terms, "pos").select("topic", "term", "weight")
 
 
 @query("clu6_lda_em")

@@ -6,10 +6,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.ml.feature import RegexTokenizer, StopWordsRemover, VectorAssembler
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.vectors import libsvm_line
+from millrace.operators import dictionary
+from millrace.plans.durable import staged
 from millrace.plans.ordering import row_index
 
 
@@ -54,25 +56,22 @@ def reindex_labels(df: DataFrame, label: str, name: str = "label_index") -> Data
     return df.join(row_index(classes, [label], name), label)
 
 
-def term_count(df: DataFrame, words: str) -> int:
-    """How many distinct terms there are, at least one: the vocabulary that drops nothing."""
-    terms = df.select(F.explode(words).alias("term")).where(F.col("term").isNotNull())
-    return max(1, terms.agg(F.count_distinct("term")).first()[0])
-
-
 def text_corpus(docs: DataFrame, identity: str, text: str, vocabulary: int | None = None,
-                stop_words: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
-    """Tokenise, drop stop words, count terms and number the documents.
+                stop_words: Sequence[str] = ()) -> tuple[DataFrame, dictionary.Dictionary]:
+    """Number the documents, tokenise, drop stop words and count terms: (identity, row, features) and the dictionary.
 
-    ``vocabulary`` keeps that many of the most frequent terms, None keeps all of them.
+    ``vocabulary`` keeps that many of the most frequent terms, None keeps all of them. Rows that repeat an identity
+    are documents of their own.
     """
+    rows = staged(row_index(docs.select(identity, text), [identity, text], "row"), "rows")
     tokens = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="raw_tokens", pattern=r"\W"),
-        StopWordsRemover(inputCol="raw_tokens", outputCol="tokens", stopWords=list(stop_words))]).fit(docs).transform(docs)
-    size = term_count(tokens, "tokens") if vocabulary is None else vocabulary
-    model = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=size).fit(tokens)
-    numbered = row_index(model.transform(tokens).select(identity, "features"), [identity], "row")
-    return numbered, model.vocabulary
+        StopWordsRemover(inputCol="raw_tokens", outputCol="tokens", stopWords=list(stop_words))]).fit(rows).transform(
+            rows.withColumn(text, F.coalesce(text, F.lit(""))))
+    counts = dictionary.term_counts(tokens, "row", "tokens")
+    learned = dictionary.learn(counts, rows.count(), vocabulary)
+    found = dictionary.numbered(counts, learned)
+    return dictionary.sparse_vectors(rows.select(identity, "row"), "row", found, learned), learned
 
 
 def quantile_buckets(df: DataFrame, column: str, order: Sequence[str], buckets: int, name: str) -> DataFrame:
@@ -100,11 +99,6 @@ def active_entries(vector: str) -> Column:
 
 
 def term_rows(df: DataFrame, vector: str, vocabulary: Sequence[str], *keep: str) -> DataFrame:
-    """Non-zero entries of a count vector as (term, weight) rows."""
-    entries = df.select(*keep, F.inline(active_entries(vector)))
-    return entries.join(vocabulary_table(df.sparkSession, vocabulary), "pos").select(*keep, "term", "weight")
-
-
-def vocabulary_table(spark: SparkSession, vocabulary: Sequence[str]) -> DataFrame:
-    """(pos, term), broadcast: a vocabulary is never longer than the size it was asked for."""
-    return F.broadcast(spark.createDataFrame(list(enumerate(vocabulary)), "pos int, term string"))
+    """Non-zero entries of a count vector over a given vocabulary as (term, weight) rows."""
+    terms = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(vocabulary)), "pos int, term string"))
+    return df.select(*keep, F.inline(active_entries(vector))).join(terms, "pos").select(*keep, "term", "weight")

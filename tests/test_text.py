@@ -1,11 +1,13 @@
 """Line, word, log and file-name parsing on literal inputs."""
 
 import datetime as dt
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from millrace.functions import numeric, text, weblog
-from millrace.operators import dirlog
+from millrace.operators import dictionary, dirlog
 from millrace.operators.features import active_entries, quantile_buckets, text_corpus
 from millrace.sources.readers import read_ordered_lines
 
@@ -92,12 +94,42 @@ def test_corpus_keeps_every_term(spark):
     """More terms than the library's default vocabulary of 2 to the 18th."""
     docs = spark.range(2700).select("id", F.array_join(F.transform(
         F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("w"), (F.col("id") * 100 + i).cast("string"))), " ").alias("text"))
-    corpus, vocabulary = text_corpus(docs, "id", "text")
-    assert len(vocabulary) == 270_000
+    corpus, learned = text_corpus(docs, "id", "text")
+    assert learned.size == learned.terms.count() == 270_000
     sizes = corpus.select(F.size(active_entries("features")).alias("n")).groupBy("n").count().collect()
     assert [(r["n"], r["count"]) for r in sizes] == [(100, 2700)]
 
 
+def test_dictionary_places_terms_by_frequency(spark, many_blocks, monkeypatch):
+    """Against plain counting: hot terms, ties, nulls, a repeated identity, an empty document, a bounded dictionary."""
+    monkeypatch.setattr(dictionary, "FREQUENT", 3)
+    draw = random.Random(5)
+    docs = [(i, " ".join(["the"] * 3 + [draw.choice("abcdefgh") for _ in range(draw.randrange(9))])) for i in range(60)] + [(7, "a a zz"), (90, None), (91, "")]
+    df = spark.createDataFrame(docs, "id int, text string")
+    total = Counter(w for _, t in docs for w in (t or "").split())
+    order = [t for t, _ in sorted(total.items(), key=lambda p: (-p[1], p[0]))]
+    for size in (None, 4):
+        corpus, learned = text_corpus(df, "id", "text", size)
+        assert [(r.term, r.n) for r in learned.terms.orderBy("pos").collect()] == [(t, total[t]) for t in order[:size]]
+        got = sorted((r.id, tuple(sorted((order[int(i)], x) for i, x in zip(r.features.indices, r.features.values)))) for r in corpus.collect())
+        want = sorted((i, tuple(sorted((w, float(n)) for w, n in Counter((t or "").split()).items() if w in order[:size]))) for i, t in docs)
+        assert got == want and sorted(r.row for r in corpus.collect()) == list(range(len(docs)))
+        assert {r.features.size for r in corpus.collect()} == {len(order[:size])}
+    counts = dictionary.term_counts(df.select("id", F.split("text", " ").alias("w")), "id", "w")
+    assert dictionary.learn(counts, 10, min_documents=2).terms.where("term = 'zz'").isEmpty()
+    assert text_corpus(df.limit(0), "id", "text")[0].count() == 0
+
+
+def test_rare_terms_meet_no_hot_key(spark, many_blocks, monkeypatch):
+    """The counts of the most frequent terms take part in no exchange by term."""
+    monkeypatch.setattr(dictionary, "FREQUENT", 1)
+    counts = dictionary.term_counts(spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["a", "c"])], "id int, w array<string>"), "id", "w")
+    found = dictionary.numbered(counts, dictionary.learn(counts, 2))
+    assert sorted((r.id, r.term, r.n, r.pos, r.df) for r in found.collect()) == [(1, "a", 2, 0, 2), (1, "b", 1, 1, 1), (2, "a", 1, 0, 2), (2, "c", 1, 2, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("strategy=broadcast") == 2
+
+
 def test_quantile_buckets(spark):
     rows = [(i, float(i % 10)) for i in range(40)] + [(40, None), (41, float("nan"))]
     frame = spark.createDataFrame(rows, "id int, x double")
