@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from millrace.operators import evaluation, linear, models, neighbours, patterns, sketches
+from millrace.operators import evaluation, linear, models, neighbours, patterns, pivot_tree, sketches
 from millrace.operators.custom import UntrainedClassifier
 from millrace.operators.features import active_entries, reindex_labels
 from millrace.operators.joins import band_pairs
@@ -24,12 +24,13 @@ def cloud_frame(spark, cloud):
     return spark.createDataFrame([(i, [float(x) for x in v], i % 3) for i, v in enumerate(cloud)], "id bigint, v array<double>, label int")
 
 
-@pytest.mark.parametrize("block", [20_000, 4])
-def test_nearest_is_exact(spark, cloud, cloud_frame, monkeypatch, block):
+@pytest.mark.parametrize("block, leaf", [(20_000, 2000), (4, 10), (20_000, 3)])
+def test_nearest_is_exact(spark, cloud, cloud_frame, monkeypatch, block, leaf):
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", block)
+    monkeypatch.setattr(pivot_tree, "BLOCK_ROWS", block)
     train, test = cloud_frame.where("id % 4 <> 0"), cloud_frame.where("id % 4 = 0")
     got = {}
-    for r in neighbours.nearest(train, test, "id", "v", "label", k=5, pivots=6).collect():
+    for r in neighbours.nearest(train, test, "id", "v", "label", k=5, leaf=leaf, fan=3).collect():
         got.setdefault(r["q"], []).append((round(r["dist"], 9), r["t"]))
     ids = [i for i in range(len(cloud)) if i % 4]
     for q in range(0, len(cloud), 4):
@@ -37,6 +38,27 @@ def test_nearest_is_exact(spark, cloud, cloud_frame, monkeypatch, block):
         assert sorted(got[q]) == dist
 
 
+def test_comparisons_do_not_grow_with_the_table(spark):
+    """Ten times the rows: a query is compared with about as many, and its nearest rows are right."""
+    draw = np.random.default_rng(8)
+    per_query = []
+    for n in (3_000, 30_000):
+        points = draw.normal(size=(n, 3))
+        frame = spark.createDataFrame([(i, p.tolist(), 0.0) for i, p in enumerate(points)], "id int, v array<double>, label double")
+        queries = draw.normal(size=(200, 3))
+        asked = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(queries)], "id int, v array<double>")
+        compared = []
+        got = {}
+        for r in neighbours.nearest(frame, asked, "id", "v", "label", k=4, leaf=150, fan=16, compared=compared).collect():
+            got.setdefault(r["q"], []).append((r["dist"], r["t"]))
+        for q, own in got.items():
+            away = np.sqrt(((points - queries[q]) ** 2).sum(axis=1))
+            assert [t for _, t in sorted(own)] == list(np.argsort(away, kind="stable")[:4])
+        assert len(got) == 200
+        per_query.append(compared[0] / 200)
+    assert per_query[1] < 2 * per_query[0] and per_query[1] < 1000
+
+
 def test_equal_queries_share_their_answer(spark, cloud_frame):
     train, test = cloud_frame.where("id >= 30"), cloud_frame.where("id < 30")
     rows = neighbours.nearest(train, test, "id", "v", "label", k=4).collect()
