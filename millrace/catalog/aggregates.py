@@ -239,6 +239,17 @@ def agg18(spark, folder):
     return sketches.heavy_hitters(table(spark, folder, "lineitem"), "l_suppkey")
 
 
+@query("agg18_frequent_bounds", """SELECT l_suppkey, count(*) AS n, true AS found, true AS contained FROM lineitem GROUP BY 1
+  HAVING count(*) >= 0.001 * (SELECT count(*) FROM lineitem)""")
+def agg18_bounds(spark, folder):
+    """Every value that holds a thousandth of the rows has counters, and their bounds contain its exact count."""
+    l = table(spark, folder, "lineitem")
+    exact = l.groupBy("l_suppkey").agg(row_count())
+    heavy = exact.where(F.col("n") >= 0.001 * l.agg(F.count(F.lit(1))).scalar())
+    joined = heavy.join(sketches.frequent_values(l, "l_suppkey", 0.001), "l_suppkey", "left")
+    return joined.select("l_suppkey", "n", F.col("lower").isNotNull().alias("found"), F.col("n").between(F.col("lower"), F.col("upper")).alias("contained"))
+
+
 @query("agg19_exact_heavy_hitters", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_suppkey LIMIT 10")
 def agg19(spark, folder):
     return sketches.exact_heavy_hitters(table(spark, folder, "lineitem"), "l_suppkey")
@@ -333,6 +344,17 @@ def smp5(spark, folder):
     return shares.join(whole, "event_type").select("event_type", "n", "share", F.round(F.col("m") / total, 6).alias("original"))
 
 
+@query("smp5_by_key_with_replacement", """WITH f AS (SELECT event_type, count(*) AS m, CASE event_type WHEN 'click' THEN 0.5 WHEN 'view' THEN 0.25 WHEN 'error' THEN 2 ELSE 0 END AS f
+  FROM events GROUP BY 1) SELECT event_type, CAST(ceil(m * f) AS BIGINT) AS n, true AS within FROM f WHERE f > 0""")
+def smp5_replaced(spark, folder):
+    """Draws with replacement, a fraction per type; more draws than rows repeat some, and all are rows of the table."""
+    e = table(spark, folder, "events").select("event_id", "event_type")
+    kept = sampling.sample_by_key_exact(e, "event_type", {"click": 0.5, "view": 0.25, "error": 2.0}, ["event_id"], with_replacement=True)
+    sizes = e.groupBy("event_type").agg(F.count(F.lit(1)).alias("_m"))
+    drawn = kept.groupBy("event_type").agg(row_count(), F.count_distinct("event_id").alias("_d"))
+    return drawn.join(sizes, "event_type").select("event_type", "n", ((F.col("_d") <= F.col("_m")) & (F.col("_d") < F.col("n"))).alias("within"))
+
+
 @query("smp6_positional_split", """WITH p AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS i,
   floor(0.7 * (SELECT count(*) FROM embeddings)) AS cut FROM embeddings)
   SELECT CASE WHEN i < cut THEN 'train' ELSE 'test' END AS part, label, count(*) AS n FROM p GROUP BY 1, 2""")

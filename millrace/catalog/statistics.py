@@ -32,7 +32,7 @@ def lin1(spark, folder):
 @query("lin1_sampled_cosines_error")
 def lin1_sampled(spark, folder):
     e = table(spark, folder, "embeddings")
-    return linear.cosine_error(linear.column_cosines(e, "embedding"), linear.sampled_column_cosines(e, "embedding", 0.1))
+    return linear.cosine_error(linear.column_cosines(e, "embedding"), linear.sampled_column_cosines(e, "embedding", 0.1, ["vec_id"]))
 
 
 @query("lin2_singular_values")
@@ -40,6 +40,25 @@ def lin2(spark, folder):
     return linear.singular_values(table(spark, folder, "embeddings"), "embedding")
 
 
+@query("lin2_squared_norm", """WITH u AS (SELECT unnest(embedding) AS x FROM embeddings)
+  SELECT (SELECT max(len(embedding)) FROM embeddings) AS n, round(sum(CAST(x AS DOUBLE) * x), 4) AS squared_norm, true AS descending FROM u""")
+def lin2_norm(spark, folder):
+    """The squares of all singular values add up to the squared entries of the matrix."""
+    values = linear.singular_values(table(spark, folder, "embeddings"), "embedding")
+    falling = F.array_agg(F.col("sigma")).alias("s")
+    return values.orderBy("k").agg(F.count(F.lit(1)).cast("int").alias("n"), F.round(F.sum(F.col("sigma") * F.col("sigma")), 4).alias("squared_norm"), falling).select(
+        F.col("n").cast("bigint").alias("n"), "squared_norm", (F.reverse(F.array_sort("s")) == F.col("s")).alias("descending"))
+
+
+@query("lin1_sampled_bounds", f"""WITH {_COSINE} SELECT i, j, round(cosine, 5) AS cosine, true AS near FROM c""")
+def lin1_bounds(spark, folder):
+    """Every pair of columns: its cosine, and whether the sampled estimate lies within 0.2 of it."""
+    e = table(spark, folder, "embeddings")
+    sampled = linear.sampled_column_cosines(e, "embedding", 0.1, ["vec_id"]).withColumnRenamed("cosine", "_c")
+    near = F.abs(F.col("cosine") - F.coalesce("_c", F.lit(0.0))) <= 0.2
+    return linear.column_cosines(e, "embedding").join(sampled, ["i", "j"], "left").select("i", "j", F.round("cosine", 5).alias("cosine"), near.alias("near"))
+
+
 @query("lin3_principal_components")
 def lin3(spark, folder):
     """Loadings of all components; each is given the sign that makes its largest loading positive."""

@@ -214,6 +214,18 @@ def stm19(spark, folder):
     return stateful.heavy_by_batch(spark, _events(spark, folder), "user_id")
 
 
+@query("stm19_frequent_bounds_by_batch", f"""WITH {EVENTS}, c AS (SELECT slice, user_id, count(*) AS n FROM ev GROUP BY 1, 2 UNION ALL SELECT -1, user_id, count(*) FROM ev GROUP BY 2),
+  t AS (SELECT slice, sum(n) AS total FROM c GROUP BY 1) SELECT slice, user_id, n, true AS found, true AS contained FROM c JOIN t USING (slice) WHERE n >= 0.01 * total""")
+def stm19_bounds(spark, folder):
+    """Users with a hundredth of a batch or of the stream have counters whose bounds contain their exact counts."""
+    e = _events(spark, folder)
+    found = stateful.frequent_by_batch(spark, e, "user_id", share=0.01)
+    exact = e.select(F.explode(F.array("slice", F.lit(-1))).alias("slice"), "user_id").groupBy("slice", "user_id").agg(row_count())
+    heavy = exact.withColumn("_t", F.sum("n").over(W.partitionBy("slice"))).where(F.col("n") >= 0.01 * F.col("_t")).drop("_t")
+    return heavy.join(found, ["slice", "user_id"], "left").select("slice", "user_id", "n", F.col("lower").isNotNull().alias("found"),
+                                                                  F.col("n").between(F.col("lower"), F.col("upper")).alias("contained"))
+
+
 @query("stm19_exact_heavy_hitters_by_batch", f"""WITH {EVENTS}, c AS (SELECT slice, user_id, count(*) AS estimate FROM ev GROUP BY 1, 2 UNION ALL SELECT -1, user_id, count(*) FROM ev GROUP BY 2)
   SELECT * FROM (SELECT slice, user_id, estimate, row_number() OVER (PARTITION BY slice ORDER BY estimate DESC, user_id) AS rank FROM c) WHERE rank <= 10""")
 def stm19_exact(spark, folder):

@@ -6,11 +6,16 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import PCA, ElementwiseProduct
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from millrace.plans.durable import staged
+
+MERGED = 16  # triangular factors stacked by one task
 
 
 def gram_rows(df: DataFrame, array: str) -> DataFrame:
@@ -44,11 +49,68 @@ def column_cosines(df: DataFrame, array: str) -> DataFrame:
             .select("i", "j", (F.col("dot") / (F.col("_ni") * F.col("_nj"))).alias("cosine")))
 
 
-def sampled_column_cosines(df: DataFrame, array: str, threshold: float) -> DataFrame:
-    """Cosine similarities by dimension-independent sampling above a threshold."""
-    rows = df.select(F.col(array).cast("array<double>").alias("a")).rdd.map(lambda r: r["a"])
-    entries = RowMatrix(rows).columnSimilarities(threshold).entries
-    return df.sparkSession.createDataFrame(entries.map(lambda e: (e.i, e.j, float(e.value))), "i bigint, j bigint, cosine double")
+def column_norms(df: DataFrame, array: str) -> np.ndarray:
+    """Length of every column; a task sends one number per column."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for m in _matrices(batches, 0):
+            total = (m ** 2).sum(axis=0) + (0 if total is None else total)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["j", "square"])
+
+    squares = _arrays(df, array).mapInArrow(partial, "j bigint, square double").groupBy("j").agg(F.sum("square").alias("square"))
+    found = sorted((r["j"], r["square"]) for r in squares.collect())
+    return np.sqrt([square for _, square in found])
+
+
+def _arrays(df: DataFrame, array: str, *more: Column) -> DataFrame:
+    """Rows with a vector, as (a, ...)."""
+    return df.where(F.col(array).isNotNull()).select(F.col(array).cast("array<double>").alias("a"), *more)
+
+
+def _matrices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[np.ndarray]:
+    for batch in batches:
+        if batch.num_rows:
+            lists = batch.column(column)
+            yield lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(lists), -1)
+
+
+def _uniform(keys: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """A number in [0, 1) for every (key, column), the same on every run: the SplitMix64 finaliser over a counter."""
+    steps = np.arange(1, width + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = keys.view(np.uint64)[:, None] + steps[None, :] + np.uint64(seed * 0xD1342543DE82EF95 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) / 2.0 ** 64
+
+
+def sampled_column_cosines(df: DataFrame, array: str, threshold: float, identity: Sequence[str], seed: int = 1) -> DataFrame:
+    """Cosine similarities estimated from a sample of the entries; those above the threshold are near.
+
+    A column of length c is sampled with probability sqrt(gamma) / c, gamma = 10 ln(d) / threshold, so the work per
+    column does not depend on the number of rows. Whether an entry is taken depends on a hash of the row's
+    ``identity`` alone. (Zadeh and Goel, "Dimension independent similarity computation", 2013.)
+    """
+    norms = column_norms(df, array)
+    width = len(norms)
+    reach = np.sqrt(10 * np.log(max(width, 2)) / threshold) if threshold > 0 else np.inf
+    with np.errstate(divide="ignore"):
+        chance = np.where(norms > 0, np.minimum(1.0, reach / norms), 0.0)
+    scale = np.minimum(reach, norms)
+    scale[scale == 0] = 1.0
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            for m in _matrices([batch], 0):
+                taken = np.where(_uniform(batch.column(1).to_numpy(), width, seed) < chance, m, 0.0) / scale
+                total += taken.T @ taken
+        i, j = np.nonzero(np.triu(total, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], names=["i", "j", "cosine"])
+
+    rows = _arrays(df, array, F.xxhash64(*identity).alias("key"))
+    return rows.mapInArrow(partial, "i bigint, j bigint, cosine double").groupBy("i", "j").agg(F.sum("cosine").alias("cosine"))
 
 
 def cosine_error(exact: DataFrame, approximate: DataFrame) -> DataFrame:
@@ -58,14 +120,44 @@ def cosine_error(exact: DataFrame, approximate: DataFrame) -> DataFrame:
     return exact.join(other, ["i", "j"], "left").agg(F.count(F.lit(1)).alias("pairs"), F.avg(gap).alias("mae"))
 
 
+def triangular_factor(df: DataFrame, array: str) -> np.ndarray:
+    """R of a QR decomposition of the whole matrix: one factor per task, stacked and factored again in groups of ``MERGED``.
+
+    Only factors of d x d numbers move, and no product of columns is formed, so small values keep their digits.
+    """
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        r = None
+        for m in _matrices(batches, 0):
+            r = np.linalg.qr(m if r is None else np.vstack([r, m]), mode="r")
+        if r is not None:
+            yield _factor(TaskContext.get().partitionId(), r)
+
+    def merge(factors: pa.Table) -> pa.Table:
+        width = factors.column("width")[0].as_py()
+        stacked = np.vstack([np.asarray(r, float).reshape(-1, width) for r in factors.column("r").to_pylist()])
+        return pa.Table.from_batches([_factor(factors.column("block")[0].as_py(), np.linalg.qr(stacked, mode="r"))])
+
+    schema = "block bigint, width bigint, r array<double>"
+    factors = staged(_arrays(df, array).mapInArrow(own, schema), "factors")
+    last = factors.agg(F.max("block")).first()[0]
+    while last:
+        last //= MERGED
+        factors = factors.withColumn("block", F.floor(F.col("block") / MERGED)).groupBy("block").applyInArrow(merge, schema)
+    found = factors.first()
+    return np.zeros((0, 0)) if found is None else np.array(found["r"]).reshape(-1, found["width"])
+
+
+def _factor(block: int, r: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([r.shape[1]], pa.int64()),
+                                       pa.array([r.ravel().tolist()], pa.list_(pa.float64()))], names=["block", "width", "r"])
+
+
 def singular_values(df: DataFrame, array: str) -> DataFrame:
-    """Singular values, greatest first, from the d x d matrix of dot products."""
-    cells = gram_rows(df, array).collect()
-    d = max(c["j"] for c in cells) + 1
-    m = np.zeros((d, d))
-    for c in cells:
-        m[c["i"], c["j"]] = m[c["j"], c["i"]] = c["dot"]
-    values = np.sqrt(np.clip(np.linalg.eigvalsh(m), 0, None))[::-1]
+    """Singular values, greatest first, one per column; zeros where the matrix has fewer rows or a lower rank."""
+    r = triangular_factor(df, array)
+    values = np.linalg.svd(r, compute_uv=False) if r.size else np.zeros(0)
+    values = np.concatenate([values, np.zeros(r.shape[1] - len(values))])
     return df.sparkSession.createDataFrame([(k, float(v)) for k, v in enumerate(values)], "k int, sigma double")
 
 

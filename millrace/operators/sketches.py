@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from millrace.plans.durable import staged
 
 
 def approx_distinct(df: DataFrame, column: str, lg_k: int = 12) -> DataFrame:
@@ -85,6 +93,56 @@ def heavy_hitters(df: DataFrame, column: str, share: float = 0.001, k: int = 10,
     return heavy.distinct().orderBy(F.desc("estimate"), F.asc(column)).limit(k)
 
 
+def frequency_counters(df: DataFrame, column: str, capacity: int) -> DataFrame:
+    """(value, lower, slack) of each task's most frequent values, at most ``capacity`` of them, in one pass.
+
+    When a task holds more, the count of the first that has no place is taken off all of them, and ``slack`` is the
+    sum of what was taken off: a value occurs in the task's rows between lower and lower + slack times, and one without
+    a counter at most slack times. Each task adds a row with a null value and its slack. (Agarwal et al., "Mergeable
+    summaries", 2012.) Null values are not counted.
+    """
+    kind = df.schema[column].dataType
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, slack = Counter(), 0
+        for batch in batches:
+            for entry in pc.value_counts(pc.drop_null(batch.column(0))).to_pylist():
+                held[entry["values"]] += entry["counts"]
+            if len(held) > 2 * capacity:
+                held, taken = _reduced(held, capacity)
+                slack += taken
+        held, taken = _reduced(held, capacity)
+        slack += taken
+        yield pa.RecordBatch.from_arrays([pa.array([*held, None], value_type), pa.array([*held.values(), 0], pa.int64()),
+                                          pa.array([0] * len(held) + [slack], pa.int64())], names=["value", "lower", "slack"])
+
+    value_type = to_arrow_type(kind)
+    return df.select(column).mapInArrow(count, f"value {kind.simpleString()}, lower bigint, slack bigint")
+
+
+def _reduced(held: Counter, capacity: int) -> tuple[Counter, int]:
+    if len(held) <= capacity:
+        return held, 0
+    taken = heapq.nlargest(capacity + 1, held.values())[-1]
+    return Counter({value: n - taken for value, n in held.items() if n > taken}), taken
+
+
+def merge_counters(counters: DataFrame, column: str, share: float, total: int) -> DataFrame:
+    """(column, lower, upper) of every value that may reach ``share`` of the ``total`` rows; no other value can."""
+    slack = counters.agg(F.coalesce(F.sum("slack"), F.lit(0))).first()[0]
+    merged = counters.where("value IS NOT NULL").groupBy(F.col("value").alias(column)).agg(F.sum("lower").alias("lower"))
+    return merged.withColumn("upper", F.col("lower") + F.lit(slack)).where(F.col("upper") >= share * total)
+
+
+def frequent_values(df: DataFrame, column: str, share: float = 0.001) -> DataFrame:
+    """Every value that holds at least ``share`` of the rows, with bounds that contain its exact count.
+
+    A task keeps 2 / share counters, so the bounds are at most half the share apart and no frequent value can be without.
+    """
+    counters = staged(frequency_counters(df, column, math.ceil(2 / share)), "counters")
+    return merge_counters(counters, column, share, df.count())
+
+
 def exact_heavy_hitters(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(column)).limit(k)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -100,6 +102,28 @@ def heavy_by_batch(spark: SparkSession, rows: DataFrame, column: str, slices: in
     return batches.unionByName(whole).withColumn("rank", ranked).where(F.col("rank") <= k)
 
 
+def frequent_by_batch(spark: SparkSession, rows: DataFrame, column: str, slices: int = 3, share: float = 0.001) -> DataFrame:
+    """Frequent values of every batch (slice) and of the whole stream (slice -1), with bounds on their counts.
+
+    A batch is read once and leaves a fixed number of counters; the stream's are the sum of those of its batches.
+    """
+    kept = BatchTable(spark, "counters")
+
+    def each(batch: DataFrame, number: int) -> None:
+        counters = sketches.frequency_counters(batch, column, math.ceil(2 / share))
+        size = batch.select(F.lit(None).cast(rows.schema[column].dataType).alias("value"), F.lit(0).cast("bigint").alias("lower"),
+                            F.lit(0).cast("bigint").alias("slack")).groupBy("value", "lower", "slack").agg(F.count(F.lit(1)).alias("n"))
+        kept.write(counters.withColumn("n", F.lit(0).cast("bigint")).unionByName(size), number)
+
+    Replay(spark, {"rows": rows}, slices=slices).run(lambda s: s, each)
+    counters, results = kept.read(), []
+    for number in [*(r[0] for r in counters.select("batch").distinct().collect()), None]:
+        mine = counters if number is None else counters.where(F.col("batch") == number)
+        found = sketches.merge_counters(mine, column, share, mine.agg(F.sum("n")).first()[0])
+        results.append(found.withColumn("slice", F.lit(-1 if number is None else number)))
+    return reduce(DataFrame.unionByName, results)
+
+
 def exact_by_batch(spark: SparkSession, rows: DataFrame, column: str, slices: int = 3, k: int = 10) -> DataFrame:
     """Exact top values of every batch (slice) and of the whole stream (slice -1)."""
     table = BatchTable(spark, "exact")
