@@ -1,17 +1,23 @@
 """Main text of web pages by composite text density.
 
-A tree is built from the tags. For every node the characters per tag are computed, adjusted by the share of link
-text (Sun, Song and Liao, 2011); the densities of a node's children are summed, and the largest sum shows where the
-article is. Its enclosing article element (or the nearest one named as content) is taken whole. Of the neighbours
-along the path from there up to the outermost main or content element (or to the top, where there is none), all
-belong to the text, however short, unless half of their text or more is links. Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments are cut out by their tag, role or class before anything is measured,
-but nothing by its role or class that contains an article, main or h1 element or most of the page's text, and by a
-part of a class only what is small or a third of links.
-
-Defined results: null or empty html, and a page without text, give an empty text; broken markup is read as far
-as it goes (an unclosed comment or raw text such as a script ends with the page; an unclosed button, select or object is read on); rows that repeat give a row each; other columns
-are ignored; a page of any length is read whole, in time linear in its length.
+A tree is built from the tags. For every node the characters per tag are computed, adjusted by the share of link text
+(Sun, Song and Liao, 2011); the densities of a node's children are summed, and the largest sum shows where the article
+is. On a page with article or main elements the enclosing one is taken whole; otherwise the node itself and, along the
+path from there to the body, the neighbours that reach the lowest density on that path. That threshold alone loses
+headings, leads and short paragraphs beside a dense part, so neighbours below it stay too unless half of their text or
+more is links.
+
+Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are cut out by their tag,
+role, class or id before anything is measured, whatever their length, but not an element that holds the chosen article:
+the largest article or main element outside of them, or else the densest node outside of them or the largest article
+inside of one, whichever has more text; what readers' comments hold is chosen only where there is nothing else. A name of several words counts when all of its words do
+(``related-posts``, not ``related-work``); with other words beside them, only what is a third of links or more is cut.
+
+Defined results: null or empty html, and a page without text, give an empty text; broken markup is read as far as it
+goes (an unclosed comment, quoted value or raw text such as a script ends with the page; an unclosed button, select or
+object is read on); a quote opens a value only behind an equals sign; rows that repeat give a row each; a page of any
+length and depth is read whole, in time linear in its length; an empty table gives no rows; other columns are ignored.
+``extract`` raises a ValueError where a kept column is named text or n_chars.
 """
 
 from __future__ import annotations
@@ -36,20 +42,21 @@ GONE = frozenset("nav footer aside head dialog menu canvas audio video template
 CONTROLS = frozenset("button select object svg noscript".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option".split())
 SCOPES = frozenset("body html article section main div table ul ol dl td th blockquote".split())
-CUT_NAMES = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments comments-area consent cookie "
+CUT_NAMES = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie "
                       "cookies disclaimer footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
                       "recommended related replies share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
-COMMENT_NAMES = frozenset("comment comments comments-area replies".split())
-SURE_NAMES = COMMENT_NAMES | frozenset("ad ads advert advertisement adverts consent cookie cookies newsletter popup promo promoted sponsor sponsored subscribe".split())
+COMMENT_NAMES = frozenset("comment comments replies".split())
+# Words beside such a name that do not change what it names. A part of digits is one, too.
+COMPANIONS = frozenset("area bar block body bottom box buttons card carousel column container entry form grid group holder icons inner item items "
+                       "leaderboard left links list lower module panel posts reader readers region right row section site slot stories story "
+                       "thread top unit upper user users wrap wrapper".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-NEGATIONS = frozenset("has no with without".split())  # has-sidebar and layout-no-sidebar name what stands beside or is not there
-TINY = 10  # percent of the page's text; what a class names by its end or a sure beginning is cut up to it without links, too
 IN_HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 PAGE_HEADER_INSIDE = frozenset("article main section".split())
 BODIES = frozenset("article main".split())
 CONTENT_NAMES = frozenset("article article-body article-content content entry-content main main-content page-content post-body post-content story-body".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?:>|\Z)", re.DOTALL)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*+)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 SPACES = re.compile(r"\s+")
 
@@ -65,6 +72,8 @@ class Page:
         self.tag, self.parent, self.mark, self.content, self.closed = ["#"], [-1], [""], [False], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block begins or ends
         self.open = [0]
+        self.places: dict[str, list[int]] = {}  # where in ``open`` the elements of a name stand
+        self.scopes: list[int] = []
         at = 0
         while m := TOKEN.search(source, at):
             if m.start() > at:
@@ -93,7 +102,8 @@ class Page:
 
     def _start(self, name: str, attributes: str) -> None:
         if name not in IN_HEAD and self.tag[self.open[-1]] == "head":  # its end tag may be left out
-            self.closed[self.open.pop()] = True
+            self.closed[self.open[-1]] = True
+            self._pop(len(self.open) - 1)
         if name not in INLINE:
             if name not in VOID:
                 self._leave("p" if name not in CLOSED_BY_SAME else name)
@@ -106,8 +116,19 @@ class Page:
         self.mark.append(self._mark(name, attributes))
         self.closed.append(False)
         self.content.append(name not in ("body", "html") and any(not CONTENT_NAMES.isdisjoint(v) for _, v in self._named(attributes)))
+        self.places.setdefault(name, []).append(len(self.open))
+        if name in SCOPES:
+            self.scopes.append(len(self.open))
         self.open.append(len(self.tag) - 1)
 
+    def _pop(self, place: int) -> None:
+        """Takes the open elements from ``place`` on from the stack."""
+        while len(self.open) > place:
+            name = self.tag[self.open.pop()]
+            self.places[name].pop()
+            if name in SCOPES:
+                self.scopes.pop()
+
     @staticmethod
     def _named(attributes: str) -> Iterator[tuple[str, list[str]]]:
         """The classes, ids and roles."""
@@ -115,7 +136,7 @@ class Page:
             yield m[1].lower(), (m[2] or m[3] or m[4] or "").lower().split()
 
     def _mark(self, name: str, attributes: str) -> str:
-        """How sure tag, role, class and id are that an element is not the article's: raw, gone, control, named, comment, end, part."""
+        """What tag, role, class and id say against an element: raw, gone, control, comment, named, part."""
         if name in RAW:
             return "raw"
         if name in GONE:
@@ -123,85 +144,83 @@ class Page:
         if name in CONTROLS:
             return "control"
         if name == "header":  # of the page; an article may head its text with one
-            return "" if any(self.tag[n] in PAGE_HEADER_INSIDE for n in self.open) else "gone"
+            return "" if any(self.places.get(tag) for tag in PAGE_HEADER_INSIDE) else "gone"
         found = {"named"} if name == "form" else set()
-        if name not in ("body", "html", "article", "main"):
+        if name not in ("body", "html", "main"):
             for kind, values in self._named(attributes):
                 if kind == "role" and CUT_ROLES.intersection(values):
                     found.add("named")
                 for value in values:
-                    parts = re.split("[-_]+", value)
-                    if value in CUT_NAMES:
-                        found.add("comment" if value in COMMENT_NAMES else "named")
-                    elif not CUT_NAMES.isdisjoint(parts):
-                        sure = NEGATIONS.isdisjoint(parts) and (parts[0] in SURE_NAMES or parts[-1] in CUT_NAMES and parts[-1] != "widget")
-                        comment = sure and (parts[0] in COMMENT_NAMES or parts[-1] in COMMENT_NAMES)
-                        found.add("comment" if comment else "end" if sure else "part")
-        return next((m for m in ("named", "comment", "end", "part") if m in found), "")
+                    parts = [part for part in re.split("[-_]+", value) if part]
+                    if CUT_NAMES.isdisjoint(parts):
+                        continue
+                    if all(part in CUT_NAMES or part in COMPANIONS or part.isdigit() for part in parts):
+                        found.add("named" if COMMENT_NAMES.isdisjoint(parts) else "comment")
+                    elif name != "article":
+                        found.add("part")
+        return next((m for m in ("comment", "named", "part") if m in found), "")
 
     def _cut(self) -> None:
-        """Marks what is not the article: never what holds an article, main or h1 or most of the text, and by a part of a name only links."""
+        """Marks what is not the article, but nothing that holds the chosen one."""
         n = len(self.tag)
-        out = [False] * n  # out of the page's text in any case
+        chars, links = [0] * n, [0] * n
+        gone, doubted = [False] * n, [False] * n  # out in any case; out unless it holds the chosen article
         for node in range(1, n):
-            mark = self.mark[node]
-            out[node] = out[self.parent[node]] or mark == "raw" or mark in ("gone", "control") and self.closed[node]
-        chars, links, holds = [0] * n, [0] * n, [0] * n
-        inside = [0] * n  # characters of the same subtree, for controls, too
+            mark, up = self.mark[node], self.parent[node]
+            gone[node] = gone[up] or mark == "raw" or mark == "gone" and self.closed[node]
         for node, text in self.pieces:
-            if text:
-                inside[node] += _visible(text)
-                chars[node] += 0 if out[node] else _visible(text)
+            if text and not gone[node]:
+                chars[node] += _visible(text)
         for node in range(n - 1, 0, -1):
             up = self.parent[node]
             if self.tag[node] == "a":
                 links[node] = chars[node]
-            if self.mark[node] != "raw":
-                inside[up] += inside[node]
-            holds[node] += self.tag[node] in ("article", "main", "h1")
-            chars[up], links[up], holds[up] = chars[up] + chars[node], links[up] + links[node], holds[up] + holds[node]
-        total = chars[0]
-        bodies = any(tag in BODIES for tag in self.tag)
-        within = [False] * n
+            chars[up], links[up] = chars[up] + chars[node], links[up] + links[node]
+        against = [False] * n
+        for node in range(1, n):
+            mark = self.mark[node]
+            against[node] = (mark in ("gone", "comment", "named") or mark == "control" and self.closed[node]
+                             or mark == "part" and 3 * links[node] >= max(1, chars[node]))
+            doubted[node] = doubted[self.parent[node]] or against[node]
+        chosen = self._chosen(gone, doubted, chars, links)
+        holds = set(self._path(chosen)) if chosen else set()
         self.cut = [False] * n
         for node in range(1, n):
-            mark, c, linked = self.mark[node], chars[node], 3 * links[node] >= max(1, chars[node])
-            within[node] = within[self.parent[node]] or self.tag[node] in BODIES
-            most = 2 * c > total and (within[node] or not bodies)  # an advert may be longer than a short article beside it
-            if mark in ("gone", "control") and self.closed[node]:
-                # A button or a select around the page's text holds the page.
-                cut = mark == "gone" or not (holds[node] or 2 * inside[node] > total + inside[node])
-            elif mark in ("gone", "named"):
-                cut = not (holds[node] or most)
-            elif mark == "comment":  # readers may write more than the author
-                cut = not (holds[node] or most and not holds[0])
-            elif mark in ("end", "part"):
-                cut = not (holds[node] or most) and (linked or mark == "end" and 100 * c <= TINY * total)
-            else:
-                cut = mark == "raw"
-            self.cut[node] = self.cut[self.parent[node]] or cut
+            self.cut[node] = gone[node] or self.cut[self.parent[node]] or against[node] and node not in holds
+
+    def _chosen(self, gone: list[bool], doubted: list[bool], chars: list[int], links: list[int]) -> int:
+        """The article: an article or main element with the most text, or the densest node; if possible an undoubted one."""
+        bodies = [i for i, tag in enumerate(self.tag) if tag in BODIES and not gone[i] and chars[i]]
+        comments = [False] * len(self.tag)
+        for node in range(1, len(self.tag)):
+            comments[node] = comments[self.parent[node]] or self.mark[node] == "comment"
+        text = lambda i: chars[i] - links[i]
+        if free := [i for i in bodies if not doubted[i]]:
+            return max(free, key=text)
+        inner = max((i for i in bodies if not comments[i]), key=text, default=None)
+        for barred in (doubted, comments, gone):
+            self.cut = [g or b for g, b in zip(gone, barred)]
+            sums, _, own, linked = self.densities()
+            best = max(range(len(sums)), key=sums.__getitem__)
+            if sums[best]:
+                return best if inner is None or own[best] - linked[best] >= text(inner) else inner
+        return inner or 0
 
     def _leave(self, name: str) -> None:
         """Closes an open ``name`` of the current scope, as the start of a block does."""
-        for i in range(len(self.open) - 1, 0, -1):
-            tag = self.tag[self.open[i]]
-            if tag == name:
-                del self.open[i:]
-                return
-            if tag in SCOPES:
-                return
+        places = self.places.get(name)
+        if places and places[-1] >= (self.scopes[-1] if self.scopes else 0):
+            self._pop(places[-1])
 
     def _end(self, name: str) -> None:
         if name not in INLINE:
             self.pieces.append((self.open[-1], None))
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.tag[self.open[i]] == name:
-                self.closed[self.open[i]] = True
-                del self.open[i:]
-                return
-
-    def densities(self) -> tuple[list[float], list[int], list[int]]:
-        """Sum of the composite text densities of each node's children, its characters, and those of its links."""
+        if places := self.places.get(name):
+            self.closed[self.open[places[-1]]] = True
+            self._pop(places[-1])
+
+    def densities(self) -> tuple[list[float], list[float], list[int], list[int]]:
+        """Sum of the composite text densities of each node's children, its own, its characters, and those of its links."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for node, text in self.pieces:
@@ -218,15 +237,17 @@ class Page:
             link_chars[up] += link_chars[node]
             link_tags[up] += link_tags[node]
         overall = link_chars[0] / max(1, chars[0])
-        sums = [0.0] * n
+        sums, own = [0.0] * n, [0.0] * n
         for node in range(n - 1, 0, -1):
             c, t, lc, lt = chars[node], max(1, tags[node]), max(1, link_chars[node]), max(1, link_tags[node])
             if c and not self.cut[node]:
                 base = math.log(c / max(1, c - link_chars[node]) * link_chars[node] + overall * c + math.e)
-                sums[self.parent[node]] += c / t * max(0.0, math.log(c / lc * t / lt + 1)) / max(base, 1.0)
-        return sums, chars, link_chars
+                own[node] = c / t * max(0.0, math.log(c / lc * t / lt + 1)) / max(base, 1.0)
+                sums[self.parent[node]] += own[node]
+        return sums, own, chars, link_chars
 
     def _path(self, node: int) -> list[int]:
+        """The node and its ancestors up to the document."""
         path = [node]
         while path[-1]:
             path.append(self.parent[path[-1]])
@@ -249,7 +270,7 @@ class Page:
         return inner, marked[-1] if marked else 0
 
     def main_text(self) -> str:
-        sums, chars, link_chars = self.densities()
+        sums, density, chars, link_chars = self.densities()
         n = len(self.tag)
         best = max(range(n), key=lambda i: (not self.cut[i], sums[i]))
         if not sums[best]:
@@ -260,6 +281,8 @@ class Page:
             while node != outer:
                 node = self.parent[node]
                 between.add(node)
+            least = min((density[i] for i in self._path(best)[:-1] if self.tag[i] not in ("html", "body")), default=0.0)
+            sought = not any(tag in BODIES and not self.cut[i] for i, tag in enumerate(self.tag))
             own, own_links = [0] * n, [0] * n
             for node, text in self.pieces:
                 own[node] += len((text or "").strip())
@@ -271,7 +294,8 @@ class Page:
                 if not self.cut[node]:
                     kept[node] = (node == inner or up >= 0 and kept[up]
                                   or up in between and node not in between
-                                  and (own[up] > own_links[up] if self.tag[node] == "a" else 2 * link_chars[node] < max(1, chars[node])))
+                                  and (own[up] > own_links[up] if self.tag[node] == "a"
+                                       else 2 * link_chars[node] < max(1, chars[node]) or sought and density[node] >= least > 0))
                     wanted[node] = kept[node] or node in between
         blocks, block = [], []
         for node, text in [*self.pieces, (0, None)]:

@@ -11,7 +11,7 @@ Work is kept proportional to the rows, not to the pairs of a group:
 * In the first pass every node of a key is compared with the key's smallest node only, which ties most of a
   group together. Then only nodes of a key that lie in different components are left. The nodes of the key's
   largest component are not compared with each other, and a pair is formed once, at the first small hash that it
-  shares. A sketch of 512 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
+  shares. A sketch of 1024 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
   below the limit by four standard deviations.
 * Texts travel to the comparison only for pairs that remain, and joins on a key keep one side splittable.
 
@@ -36,7 +36,7 @@ from millrace.plans.durable import staged
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle, percent
 TABLES, ROWS = 16, 3
-BINS, PLANES = 512, 5  # of the sketch: which bins are used, and four bits of what is in them
+BINS, PLANES = 1024, 5  # of the sketch: which bins are used, and four bits of what is in them
 DEVIATIONS = 6.0  # a pair at the limit is lost with less than 1 in 10 million
 BLOCK_SHINGLES = 1 << 19
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -325,3 +326,58 @@ def test_group_sizes_do_not_switch_limits(spark):
     df = df.withColumns({c: F.lit(100).cast("bigint") for c in ("n_words", "word_chars")} | {c: F.lit(0).cast("bigint") for c in ("n_symbols", "n_repeat_words", "n_upper")})
     limit = {r.source: r.dup_lines_above for r in quality.thresholds(df).collect()}
     assert abs(limit["s19"] - limit["s20"]) <= 10 < limit["s19"] - limit["big"]
+
+
+def _plain(source):
+    return " ".join(re.sub("<[^>]+>", " ", source).split())
+
+
+def test_html_quotes_open_values_only():
+    """A quote inside an unquoted value, after a value or alone does not swallow what follows."""
+    text = "<h1>Head</h1>" + "<p>it's a paragraph of the article, isn't it</p>" * 9
+    for opened in ("<p data-x=it's>", "<p title=\"a\"'>", "<p ' class=x>", "<p a = b\"c>", "<p data-x='a > b'>", "<p x=\"a'b>c\">", "<p x= 'y' z>"):
+        assert html_text.main_text(f"<body><article>{opened}lead</p>{text}</article></body>") == "lead " + _plain(text), opened
+        assert html_text.main_text(f"<body>{opened}lead</p>{text}</body>") == "lead " + _plain(text), opened
+
+
+def test_html_cuts_comments_and_teasers_that_are_articles():
+    text = "<h1>Head</h1>" + "<p>enough words of an article to count as its text</p>" * 6
+    said = "<p>A reader says much more than the author ever did in this article, again and again.</p>" * 3
+    body = _plain(text)
+    comments = "".join(f"<article class='comment-body' id='comment-{i}'>{said}</article>" for i in range(8))
+    teasers = "<section class='related'><article><h3>Another</h3><p>A long teaser of another article of this site</p></article></section>"
+    for after in (f"<section class='comments'><h1>8 comments</h1>{comments}</section>", comments, f"<div id=comments-area><h1>All</h1>{said}</div>",
+                  f"<ol class='comment-list'>{comments}</ol>", teasers, "<div class='related-posts'><p>Read this as well, a whole sentence of text.</p></div>",
+                  "<div class=ad-slot-12>" + "an advert of very many words without a link " * 40 + "</div>"):
+        assert html_text.main_text(f"<body><article>{text}</article>{after}</body>") == body, after
+        assert html_text.main_text(f"<body><article>{text}{after}</article></body>") == body, after
+        assert html_text.main_text(f"<body><main><article>{text}</article>{after}</main></body>") == body, after
+        assert html_text.main_text(f"<body><div class=page><div>{text}</div>{after}</div></body>") == body, after
+    assert html_text.main_text(f"<body><div class=related>{text}</div></body>") == body
+
+
+def test_html_threshold_on_the_path():
+    """Without article or main, a neighbour half of links stays where it reaches the lowest density on the path."""
+    short = "<p>" + "many words of a short paragraph here and there" + "</p>"
+    linked = "<p>" + "words and " * 33 + "<a href=x>" + "a long linked title that is part of the text " * 9 + "</a></p>"
+    bar = "<div>" + "".join(f"<span><a href=x{i}>go {i}</a></span>" for i in range(20)) + "</div>"
+    got = html_text.main_text(f"<body><div><div>{short * 30}</div>{linked}<h2>short</h2></div>{bar}</body>")
+    assert got == _plain(f"{short * 30}{linked} short")
+
+
+def test_html_of_any_depth_in_linear_time():
+    """A hundred thousand nested, unclosed or stray tags take seconds."""
+    n = 100_000
+    for page, text in (("<div>" * n + "</x>" * n, ""), ("<h2>" * n + "x", "x"), ("<div>" * n + "deep" + "</div>" * n, "deep"), ("<p>a<header>" * n, None),
+                       ("<a x=" * n, ""), ("<ul><li>" * n + "y", "y")):
+        started = time.monotonic()
+        got = html_text.main_text(page)
+        assert time.monotonic() - started < 20 and (text is None or got == text)
+
+
+def test_html_column_names(spark):
+    df = spark.createDataFrame([(1, "<p>x", "a", 2)], "page_id int, html string, text string, n_chars int")
+    for name in ("text", "n_chars"):
+        with pytest.raises(ValueError):
+            html_text.extract(df, ["page_id", name])
+    assert [(r.page_id, r.text, r.n_chars) for r in html_text.extract(df, ["page_id"]).collect()] == [(1, "x", 1)]
