@@ -90,7 +90,27 @@ def welch(groups: DataFrame, group: str) -> DataFrame:
                       F.try_divide(F.pow(a + b, 2), F.try_divide(F.pow(a, 2), F.col("n0") - 1) + F.try_divide(F.pow(b, 2), F.col("n1") - 1)).alias("df"))
 
 
-def p_value(spark: SparkSession, t: float, df: float) -> float:
-    """Two-sided p-value, from the mathematics library that ships with Spark."""
-    law = spark._jvm.org.apache.commons.math3.distribution.TDistribution(float(df))
-    return 2.0 * law.cumulativeProbability(-abs(float(t)))
+def p_value(t: float, df: float) -> float:
+    """Two-sided p-value of Student's law: the regularised incomplete beta function at df / (df + t^2)."""
+    x, a, b = df / (df + t * t), df / 2.0, 0.5
+    if x in (0.0, 1.0):
+        return x
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    # The continued fraction converges fast below the mean of the law; above it the other tail is taken.
+    if x < (a + 1) / (a + b + 2):
+        return front * _beta_fraction(x, a, b) / a
+    return 1.0 - front * _beta_fraction(1 - x, b, a) / b
+
+
+def _beta_fraction(x: float, a: float, b: float, least: float = 1e-300) -> float:
+    """The continued fraction of the incomplete beta function, by Lentz's method."""
+    c, d = 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1) or least)
+    value = d
+    for m in range(1, 500):
+        for numerator in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 / (1.0 + numerator * d or least)
+            c = 1.0 + numerator / c or least
+            value *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            break
+    return value

@@ -1,6 +1,7 @@
 """Streams: a stop and a repeated batch change nothing; state equals the batch result."""
 
 import datetime as dt
+import math
 import subprocess
 import sys
 import time
@@ -86,9 +87,13 @@ def test_streaming_linear_regression_learns(spark):
     assert w == pytest.approx([2.0, -1.0], abs=0.1)
 
 
-def test_p_value(spark):
-    assert learning.p_value(spark, 2.0, 10.0) == pytest.approx(0.0733880, abs=1e-6)
-    assert learning.p_value(spark, 0.0, 10.0) == pytest.approx(1.0)
+def test_p_value():
+    assert learning.p_value(2.0, 10.0) == pytest.approx(0.0733880, abs=1e-7)
+    assert learning.p_value(0.0, 10.0) == 1.0
+    assert learning.p_value(1.0, 1.0) == pytest.approx(0.5, abs=1e-12)  # Cauchy
+    for t in (0.3, 1.0, 4.0):
+        assert learning.p_value(t, 2.0) == learning.p_value(-t, 2.0) == pytest.approx(1 - t / math.sqrt(2 + t * t), abs=1e-12)
+        assert learning.p_value(t, 1e7) == pytest.approx(math.erfc(t / math.sqrt(2)), rel=1e-4)
 
 
 def test_late_windows_stay_closed(spark, small):
@@ -181,7 +186,7 @@ def test_streaming_weights_resume(spark, tmp_path):
     assert whole == pytest.approx(parts) and whole[0] > 0
 
 
-@pytest.mark.parametrize("name, logistic", [("stm21_linear_regression_all_steps", False), ("stm22_logistic_regression_all_steps", True)])
+@pytest.mark.parametrize("name, logistic", [("stm21_streaming_linear_regression", False), ("stm22_streaming_logistic_regression", True)])
 def test_streamed_gradients_take_all_steps(spark, small, name, logistic):
     """Fifty steps on each of three batches, against numpy."""
     rows = views.labelled_lines(spark, small).select(F.col("l_orderkey") % 3, "x0", "x2", "x3", "x1").collect()
