@@ -19,27 +19,44 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rule or lie beyond the limits of their language and source go."""
+    """Documents that fail the base rule or lie beyond the limits of their language and source go.
+
+    A null or empty text has no words and goes by the base rule; a null language or source is a group like any other;
+    rows that repeat are judged alike, so all stay or all go; texts are measured whole; a null id is kept as it is; an
+    empty table stays empty; columns other than those of ``documents`` are dropped.
+    """
     small_batches(configure(spark))
     measured = staged(quality.measure(docs.select(*COLUMNS)), "measured")
     return quality.judge(measured).where("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; shingles of five words, similarity 0.8."""
+    """One document of each group stays, that of the smallest id; shingles of five words, similarity 0.8.
+
+    Null, empty and wordless texts are linked with nothing and stay; rows with a null id stay; rows that repeat an id are
+    one document, of which one row stays; an empty table stays empty; other columns are dropped.
+    """
     small_batches(configure(spark))
     return near_dup.deduplicate(docs.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which one word in twenty or more belongs to benchmark windows go."""
+    """Documents of which one word in twenty or more belongs to benchmark windows go.
+
+    A null text has no words and stays; rows that repeat are judged alike; null and wordless benchmark items, or an empty
+    benchmark, reject nothing; an empty table stays empty; other columns are dropped.
+    """
     small_batches(configure(spark))
     marked = decontaminate.mark(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"), prefix="_")
     return marked.where(~decontaminate.contaminated("_n_words", "_hits")).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by the name of its kind; all documents stay."""
+    """Personal data is replaced by the name of its kind; all documents stay.
+
+    A null text stays null with the count it had; otherwise n_chars is that of the masked text; rows that repeat are
+    masked alike; an empty table stays empty; other columns are dropped.
+    """
     small_batches(configure(spark))
     masked = pii.mask(docs.select(*COLUMNS), output="_masked")
     return masked.select("doc_id", F.col("_masked").alias("text"), "lang", "source",
@@ -47,7 +64,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 4096 tokens."""
+    """Pieces of sequences of 4096 tokens.
+
+    A null or empty text is one end-of-text token; a text longer than a sequence is cut into pieces; rows that repeat
+    are packed each; an empty table gives no pieces; other columns are dropped.
+    """
     small_batches(configure(spark))
     return packing.pack(docs.select(*COLUMNS), public_tokenizers.path("word_bpe_49k.json"))
 
