@@ -273,7 +273,7 @@ def rec2(spark, folder):
 
 @query("rec3_top_items_for_users")
 def rec3(spark, folder):
-    model = ALS(rank=8, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
+    model = ALS(rank=10, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
     return model.recommendForAllUsers(10).select("user", F.posexplode("recommendations").alias("pos", "r")).select(
         "user", (F.col("pos") + 1).alias("rank"), "r.item", "r.rating")
 
@@ -284,7 +284,7 @@ def rec3(spark, folder):
 def rec4(spark, folder):
     r = views.ratings(spark, folder)
     p = r.groupBy("item").agg(F.max("rating").alias("prediction"))
-    titles = table(spark, folder, "part").select(F.col("p_partkey").cast("int").alias("item"), F.col("p_name").alias("title"))
+    titles = table(spark, folder, "part").select(F.col("p_partkey").alias("item"), F.col("p_name").alias("title"))
     return r.join(p, "item").where((F.col("rating") <= 1) & (F.col("prediction") >= 4)).join(titles, "item").select(
         F.col("user").cast("bigint").alias("user"), F.col("item").cast("bigint").alias("item"), "title", F.round("rating", 4).alias("rating"), F.round("prediction", 4).alias("prediction"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.numeric import normal_loop_time, seconds_between, with_seconds
 from millrace.functions.text import file_extension, filename_timestamp
+from millrace.plans.durable import fresh_path
 from millrace.plans.ordering import carry_forward
 from millrace.sources.tables import table
 
@@ -42,6 +43,17 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
                         (F.col("kind").cast("bigint") * F.lit(1 << 40) + F.col("event_id") + 1).alias("pos"), "line")
 
 
+def write_logs(lines: DataFrame) -> str:
+    """Lines (file, split, pos, line) as text files, one folder per log, and the folder that holds them.
+
+    A log of any size is written by many tasks: its lines are sorted into ranges, and each part file holds a range.
+    """
+    path = fresh_path(lines.sparkSession, "logs")
+    ordered = lines.repartitionByRange("file", "split", "pos").sortWithinPartitions("file", "split", "pos")
+    ordered.select("file", "line").write.partitionBy("file").text(path)
+    return path
+
+
 def file_list(lines: DataFrame) -> DataFrame:
     """Listing lines with the loop, loop time and host in force at that line.
 
@@ -83,7 +95,7 @@ def file_summary(files: DataFrame) -> DataFrame:
 def loop_summary(files: DataFrame, extension: str = "dat") -> DataFrame:
     """All files of a loop next to its files of one extension. Loops without such files are left out.
 
-    The two sides meet on the loop number alone.
+    The two sides meet on the loop number alone. ``files`` is read three times: give it staged.
     """
     first_seen = file_summary(files).select("file_name", "first_seen_ts")
     everything = files.groupBy("loop_no", "loop_ts", "host_name").agg(

@@ -25,6 +25,19 @@ def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("line"))
 
 
+def read_log_folders(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of logs that lie in folders ``file=<name>`` below ``path``, each cut into part files in the order of their names.
+
+    (file, split, pos) orders a log's lines: ``split`` is the part file's name and the offset of the range read from it,
+    so large parts are read by many tasks.
+    """
+    return spark.read.text(path).select(
+        F.col("file").cast("string").alias("file"),
+        F.concat_ws("#", "_metadata.file_name", F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")).alias("split"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.col("value").alias("line"))
+
+
 def read_parquet(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)

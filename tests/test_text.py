@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import numeric, text, weblog
 from millrace.operators import dictionary, dirlog
 from millrace.operators.features import active_entries, quantile_buckets, text_corpus
-from millrace.sources.readers import read_ordered_lines
+from millrace.sources.readers import read_log_folders, read_ordered_lines
 
 
 def one(spark, value, expression):
@@ -90,6 +90,25 @@ def test_directory_log_files(spark, tmp_path, many_blocks):
     assert {r["loop_no"] for r in loops} == {1} and all(r["ob_file_count"] == 2 for r in loops)
 
 
+def test_logs_written_in_parts_and_read_in_ranges(spark, small, many_blocks):
+    """Logs go to many part files and come back in ranges of a few kilobytes, with every line in its place."""
+    lines = dirlog.log_lines(spark, small)
+    path = dirlog.write_logs(lines)
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, "4096")
+    try:
+        read = read_log_folders(spark, path)
+        assert read.rdd.getNumPartitions() > 9 and read.select("split").distinct().count() > 9
+        back = sorted((r.file, r.split, r.pos, r.line) for r in read.collect())
+        assert len(spark.read.text(path).inputFiles()) > 3
+        files = dirlog.file_list(read).collect()
+    finally:
+        spark.conf.set(key, old)
+    want = sorted((r.file, r.split, r.pos, r.line) for r in lines.collect())
+    assert [(f, line) for f, _, _, line in back] == [(f, line) for f, _, _, line in want]
+    assert sorted(map(str, files)) == sorted(map(str, dirlog.file_list(lines).collect()))
+
+
 def test_corpus_keeps_every_term(spark):
     """More terms than the library's default vocabulary of 2 to the 18th."""
     docs = spark.range(2700).select("id", F.array_join(F.transform(
