@@ -17,7 +17,7 @@ from millrace.catalog import ctes
 from millrace.functions import numeric
 from millrace.functions.numeric import row_count
 from millrace.operators import evaluation as ev
-from millrace.operators import models, neighbours, patterns, sampling
+from millrace.operators import models, neighbours, patterns, recommend, sampling
 from millrace.operators.custom import UntrainedClassifier
 from millrace.operators.features import assemble, text_corpus, to_libsvm
 from millrace.operators.graph import power_iteration_clusters
@@ -278,6 +278,18 @@ def rec3(spark, folder):
         "user", (F.col("pos") + 1).alias("rank"), "r.item", "r.rating")
 
 
+@query("rec3_exact_top_items", f"""WITH {ctes.RATINGS}, i AS (SELECT least(10, count(DISTINCT item)) AS k FROM ratings)
+  SELECT DISTINCT user, k AS n, true AS equal FROM ratings, i""")
+def rec3_exact(spark, folder):
+    """The ten best items of each user by bounds: rank for rank the scores of the product of all users and items."""
+    model = ALS(rank=10, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
+    found = recommend.top_items(model.userFactors, model.itemFactors, 10)
+    every = model.recommendForAllUsers(10).select(F.col("user").cast("bigint").alias("user"), F.posexplode("recommendations").alias("_p", "_r")).select(
+        "user", (F.col("_p") + 1).alias("rank"), F.col("_r.rating").alias("_score"))
+    both = found.join(every, ["user", "rank"], "full")
+    return both.groupBy("user").agg(row_count(), F.bool_and(F.coalesce(F.abs(F.col("score") - F.col("_score")) < 1e-4, F.lit(False))).alias("equal"))
+
+
 @query("rec4_false_positives", f"""WITH {ctes.RATINGS}, p AS (SELECT item, max(rating) AS prediction FROM ratings GROUP BY item)
   SELECT r.user, r.item, p_name AS title, round(r.rating, 4) AS rating, round(prediction, 4) AS prediction FROM ratings r JOIN p ON p.item = r.item
   JOIN part ON p_partkey = r.item WHERE r.rating <= 1 AND prediction >= 4""")
