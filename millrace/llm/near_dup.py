@@ -12,7 +12,7 @@ Work is kept proportional to the rows, not to the pairs of a group:
   group together. Then only nodes of a key that lie in different components are left. The nodes of the key's
   largest component are not compared with each other, and a pair is formed once, at the first small hash that it
   shares. A sketch of 1024 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
-  below the limit by four standard deviations.
+  below the limit by six standard deviations.
 * Texts travel to the comparison only for pairs that remain, and joins on a key keep one side splittable.
 
 Defined results: null or wordless text has an empty set, linked with nothing; rows that repeat an id are one
@@ -24,11 +24,12 @@ ignored by ``components`` and kept by ``deduplicate``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.batches import blocks_of, map_rows, utf8
 from millrace.operators.graph import connected_components
@@ -165,6 +166,18 @@ def similar(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     return map_rows(both, [F.col("src"), F.col("dst"), F.col("_a"), F.col("_b")], "src bigint, dst bigint", confirmed)
 
 
+@contextmanager
+def compiled_in_parts(spark: SparkSession) -> Iterator[None]:
+    """Keeps generated code in methods that the virtual machine compiles: the comparison of two sketches is a long expression."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: int, rows: int,
           id_column: str, text_column: str) -> DataFrame:
     """Confirmed links (src, dst) that connect whatever the similarity connects. ``nodes`` is staged."""
@@ -206,10 +219,10 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
     rich = staged(left.join(largest, "key").join(full, "node"), "open")
     outside = rich.where("component <> largest").alias("a")
     apart = F.col("a.key") == F.col("b.key")
-    same_u, same_v = (F.zip_with(f"a.{c}", f"b.{c}", lambda x, y: x == y) for c in "uv")
-    once = F.col("a.key") == F.xxhash64(F.col("a.u")[F.array_position(same_u, True).cast("int") - 1],
-                                        F.col("a.v")[F.array_position(same_v, True).cast("int") - 1])
-    close = plausible("a", "b", percent) & once
+    # A pair is formed under the first pair of halves that it shares; told before its sketches are compared.
+    shared_half = lambda c: F.coalesce(*[F.when(F.col(f"a.{c}")[i] == F.col(f"b.{c}")[i], F.col(f"a.{c}")[i]) for i in range(tables)])
+    once = F.col("a.key") == F.xxhash64(shared_half("u"), shared_half("v"))
+    close = once & plausible("a", "b", percent)
     pair = [F.col("a.node").alias("src"), F.col("b.node").alias("dst")]
     to_largest = outside.join(rich.where("component = largest").alias("b"), apart & close).select(*pair)
     among = outside.join(rich.where("component <> largest").alias("b"),
@@ -233,7 +246,8 @@ def components(docs: DataFrame, width: int = WIDTH, percent: int = SIMILARITY, t
     # Nodes are the distinct sets, numbered once they are made; the written copy keeps the numbers.
     nodes = staged(named.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash", "n_shingles", "u", "v", "sketch")).alias("_s"))
                    .select("set_id", "_s.*", F.monotonically_increasing_id().alias("node")), "nodes")
-    found = links(docs, nodes, width, percent, tables, rows, id_column, text_column)
+    with compiled_in_parts(docs.sparkSession):
+        found = links(docs, nodes, width, percent, tables, rows, id_column, text_column)
     # A repeated id ties the nodes of its texts together.
     sets = nodes.select("set_id", "node", "doc_id")
     repeated = (named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id"))
