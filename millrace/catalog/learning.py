@@ -274,8 +274,8 @@ def rec2(spark, folder):
 @query("rec3_top_items_for_users")
 def rec3(spark, folder):
     model = ALS(rank=10, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
-    return model.recommendForAllUsers(10).select("user", F.posexplode("recommendations").alias("pos", "r")).select(
-        "user", (F.col("pos") + 1).alias("rank"), "r.item", "r.rating")
+    found = recommend.top_items(model.userFactors, model.itemFactors, 10)
+    return found.select(F.col("user").cast("int").alias("user"), "rank", F.col("item").cast("int").alias("item"), F.col("score").cast("float").alias("rating"))
 
 
 @query("rec3_exact_top_items", f"""WITH {ctes.RATINGS}, i AS (SELECT least(10, count(DISTINCT item)) AS k FROM ratings)
