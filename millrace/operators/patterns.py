@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.plans.durable import staged
+
 
 def frequent_itemsets(baskets: DataFrame, items: str, min_support: float) -> DataFrame:
-    """(items sorted, freq) of all itemsets with enough support."""
-    model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=0.0).fit(baskets)
+    """(items sorted, freq) of all itemsets with enough support. The baskets are written, because a fit reads them several times."""
+    model = FPGrowth(itemsCol=items, minSupport=min_support, minConfidence=0.0).fit(staged(baskets.select(items), "baskets"))
     return model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
 
 

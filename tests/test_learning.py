@@ -195,3 +195,17 @@ def test_count_min(spark):
 def test_approx_distinct(spark):
     r = sketches.approx_distinct(spark.range(20000), "id").first()
     assert r["exact"] == 20000 and abs(r["error"]) < 0.06
+
+
+def test_baskets_are_made_once_for_a_fit(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def basket(i):
+        made.add(1)
+        return ["a", "b"] if i % 2 else ["a"]
+
+    baskets = spark.range(100).select(basket("id").alias("items"))
+    found = patterns.frequent_itemsets(baskets, "items", 0.1).collect()
+    assert sorted((tuple(r["items"]), r["freq"]) for r in found) == [(("a",), 100), (("a", "b"), 50), (("b",), 50)]
+    assert made.value == 100
