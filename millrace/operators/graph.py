@@ -19,6 +19,7 @@ from millrace.plans.sizing import shuffle_partitions
 from millrace.plans.skew import all_salts, salt_count, salt_of
 
 EDGES_PER_SALT = 1_000_000
+PLACED_BYTES = 4 << 20  # of written edges that a task counts
 
 
 def canonical(edges: DataFrame) -> DataFrame:
@@ -253,12 +254,17 @@ def partition_edges(edges: DataFrame, strategy: str, partitions: int) -> DataFra
 
 
 def placement_report(edges: DataFrame, strategy: str, partitions: int) -> DataFrame:
-    """Edges placed, and the largest number of parts that share what the strategy keeps together."""
-    placed = partition_edges(edges, strategy, partitions).withColumn("_p", F.spark_partition_id())
-    unit = {"RandomVertexCut": ["src", "dst"], "EdgePartition1D": ["src"], "EdgePartition2D": ["src"],
-            "CanonicalRandomVertexCut": [F.least("src", "dst").alias("lo"), F.greatest("src", "dst").alias("hi")]}
-    counted = placed.groupBy(*unit[strategy], "_p").agg(F.count(F.lit(1)).alias("_n"))
-    keys = [c for c in counted.columns if c not in ("_p", "_n")]
+    """Edges placed, and whether no more parts than the strategy promises share what it keeps together.
+
+    The placed edges are written, as their parts may be too few and too large to count in, and counted in shares of
+    bounded size.
+    """
+    placed = staged(partition_edges(edges, strategy, partitions).withColumn("_p", F.spark_partition_id()), "placed")
+    shares = shuffle_partitions(placed, PLACED_BYTES)
+    if strategy == "CanonicalRandomVertexCut":
+        placed = placed.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "_p")
+    keys = ["src"] if strategy.startswith("EdgePartition") else ["src", "dst"]
+    counted = placed.repartition(shares, "src", "dst").groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_n"))
     parts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_parts"), F.sum("_n").alias("_n"))
     bound = math.ceil(math.sqrt(partitions)) if strategy == "EdgePartition2D" else 1
     return parts.agg(F.lit(strategy).alias("strategy"), F.sum("_n").alias("edges"),

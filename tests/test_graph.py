@@ -107,3 +107,13 @@ def test_power_iteration_separates_groups(spark):
     for r in graph.power_iteration_clusters(similarity, 2, iterations=20).collect():
         got[r["id"] >= 100].add(r["cluster"])
     assert len(got[False]) == 1 and len(got[True]) == 1 and got[False] != got[True]
+
+
+def test_placed_edges_are_counted_outside_their_parts(spark):
+    """The nine parts hold whatever the table holds, so no task may gather the pairs of one."""
+    edges = frame(spark, random_edges(3, vertices=30, edges=400))
+    for strategy in ("RandomVertexCut", "CanonicalRandomVertexCut", "EdgePartition1D", "EdgePartition2D"):
+        report = graph.placement_report(edges, strategy, 9)
+        text = report._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(src#" in text and ", 9), REPARTITION" not in text and "FileScan parquet" in text
+        assert report.collect() == [(strategy, edges.count(), True)]
