@@ -13,7 +13,8 @@ Work is kept proportional to the rows, not to the pairs of a group:
   largest component are not compared with each other, and a pair is formed once, at the first small hash that it
   shares. A sketch of 1024 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
   below the limit by six standard deviations.
-* Texts travel to the comparison only for pairs that remain, and joins on a key keep one side splittable.
+* Texts travel to the comparison only for pairs that remain: their nodes are sent to the texts when they are few
+  (``broadcast_if_small``), otherwise both are shuffled. Joins on a key keep one side splittable.
 
 Defined results: null or wordless text has an empty set, linked with nothing; rows that repeat an id are one
 document for linking and give a row each; rows with a null id are linked with nothing, have no component and are
@@ -23,7 +24,7 @@ ignored by ``components`` and kept by ``deduplicate``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
@@ -34,6 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from millrace.llm.batches import blocks_of, map_rows, utf8
 from millrace.operators.graph import connected_components
 from millrace.plans.durable import staged
+from millrace.plans.sizing import broadcast_if_small
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle, percent
 TABLES, ROWS = 16, 3
@@ -142,13 +144,13 @@ def plausible(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (differing <= used * (1 - limit) + margin)
 
 
-def similar(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (src, dst) whose full sets reach the similarity. ``texts`` has unique (node, text).
+def similar(texts: Callable[[DataFrame], DataFrame], pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (src, dst) whose full sets reach the similarity. ``texts`` gives the unique (node, text) of nodes.
 
     Pairs lie sorted by dst, so the set of a node that many pairs share is made once per run of them.
     """
     ends = pairs.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    needed = staged(texts.join(ends, "node", "left_semi"), "texts")
+    needed = staged(texts(ends), "texts")
     left = pairs.join(needed.select(F.col("node").alias("src"), F.col("text").alias("_a")), "src")
     both = (left.join(needed.select(F.col("node").alias("dst"), F.col("text").alias("_b")), "dst")
             .sortWithinPartitions("dst"))
@@ -182,9 +184,12 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
           id_column: str, text_column: str) -> DataFrame:
     """Confirmed links (src, dst) that connect whatever the similarity connects. ``nodes`` is staged."""
     # An id may come with several texts: a node's text is the one that it was made of.
-    texts = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("doc_id"), utf8(text_column).alias("text"))
-    texts = (texts.withColumn("text_hash", F.xxhash64("text")).join(nodes.select("node", "doc_id", "text_hash"), ["doc_id", "text_hash"])
-             .select("node", "text").dropDuplicates(["node"]))
+    own = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("doc_id"), utf8(text_column).alias("text"))
+    own = own.withColumn("text_hash", F.xxhash64("text"))
+
+    def texts(ends: DataFrame) -> DataFrame:
+        wanted = staged(nodes.select("node", "doc_id", "text_hash").join(ends, "node", "left_semi"), "wanted")
+        return own.join(broadcast_if_small(wanted), ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
 
     # Small hashes that at least two nodes share, and the keys made of pairs of them.
     halves = nodes.select("node", F.posexplode(F.concat("u", "v")).alias("pos", "half"))
@@ -230,7 +235,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
     return tied.unionByName(_checked(to_largest.unionByName(among).distinct(), None, texts, width, percent))
 
 
-def _checked(pairs: DataFrame, light: DataFrame | None, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _checked(pairs: DataFrame, light: DataFrame | None, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> DataFrame:
     if light is not None:
         a, b = light.alias("a"), light.alias("b")
         pairs = (pairs.join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))

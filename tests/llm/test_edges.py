@@ -381,3 +381,22 @@ def test_html_column_names(spark):
         with pytest.raises(ValueError):
             html_text.extract(df, ["page_id", name])
     assert [(r.page_id, r.text, r.n_chars) for r in html_text.extract(df, ["page_id"]).collect()] == [(1, "x", 1)]
+
+
+def test_near_duplicates_fetch_texts_without_shuffling_the_rest(spark, monkeypatch):
+    """Only texts of nodes in a pair leave the scan."""
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    rows = [(i, " ".join(draw.choices(words, k=60))) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(5)] + [(None, rows[0][1]), (200, None), (0, rows[0][1])]
+    plans, real = [], near_dup.staged
+
+    def seen(df, label="stage"):
+        if label == "texts":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(near_dup, "staged", seen)
+    got = near_dup.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id for r in got if r.kept is False} == {100 + i for i in range(5)}
+    assert len(got) == len(rows) and plans and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
