@@ -22,6 +22,7 @@ from millrace.operators.custom import UntrainedClassifier
 from millrace.operators.features import assemble, text_corpus, to_libsvm
 from millrace.operators.graph import power_iteration_clusters
 from millrace.operators.joins import band_pairs
+from millrace.operators.ranking import top_k_per_group
 from millrace.plans.durable import fresh_path, staged
 from millrace.plans.sizing import balanced
 from millrace.registry import query
@@ -274,8 +275,10 @@ def rec2(spark, folder):
 @query("rec3_top_items_for_users")
 def rec3(spark, folder):
     model = ALS(rank=10, maxIter=10, regParam=0.1, userCol="user", itemCol="item", ratingCol="rating", seed=1).fit(views.ratings(spark, folder))
-    found = recommend.top_items(model.userFactors, model.itemFactors, 10)
-    return found.select(F.col("user").cast("int").alias("user"), "rank", F.col("item").cast("int").alias("item"), F.col("score").cast("float").alias("rating"))
+    found = recommend.top_items(model.userFactors, model.itemFactors, 10).select(F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"))
+    # Ratings and ranks as the model tells them, in single precision.
+    rated = model.transform(found).select("user", "item", F.col("prediction").alias("rating"))
+    return top_k_per_group(rated, "user", "rating", "item", 10).select("user", "rank", "item", "rating")
 
 
 @query("rec3_exact_top_items", f"""WITH {ctes.RATINGS}, i AS (SELECT least(10, count(DISTINCT item)) AS k FROM ratings)
