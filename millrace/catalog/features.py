@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import ctes
 from millrace.functions.numeric import row_count
 from millrace.functions.vectors import spread
-from millrace.operators import dictionary, features, linear
+from millrace.operators import dictionary, features, linear, word_vectors
 from millrace.plans.durable import staged
 from millrace.plans.sizing import balanced
 from millrace.registry import query
@@ -109,9 +109,8 @@ def fea7_learned(spark, folder):
 @query("fea8_word2vec")
 def fea8(spark, folder):
     raw = ft.RegexTokenizer(inputCol="text", outputCol="t", pattern=r"\W").transform(_docs(spark, folder))
-    parts = spark.sparkContext.defaultParallelism
-    model = ft.Word2Vec(vectorSize=3, minCount=0, seed=1, maxIter=1, numPartitions=parts, inputCol="t", outputCol="v").fit(raw)
-    return spread(model.transform(raw), "v", ["v0", "v1", "v2"], "doc_id")
+    found = word_vectors.document_vectors(word_vectors.fit(raw.select("doc_id", "t"), "t", size=3, seed=1), "v", "doc_id")
+    return found.select("doc_id", *[F.round(F.col("v")[i], 6).alias(f"v{i}") for i in range(3)])
 
 
 @query("fea9_binarizer", "SELECT event_id, CASE WHEN value > 20 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS high FROM events")
