@@ -7,11 +7,15 @@ task, and only counts of rarer terms are shuffled by term, so no join key is hot
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.plans.durable import fresh_path, staged
 from millrace.plans.ordering import row_index
@@ -38,6 +42,25 @@ def term_counts(docs: DataFrame, identity: str, words: str) -> DataFrame:
     return staged(single.groupBy(identity, "term").agg(F.count(F.lit(1)).alias("n")), "counts")
 
 
+def row_term_counts(docs: DataFrame, identity: str, words: str) -> DataFrame:
+    """As ``term_counts`` where no two rows share an identity: the words of a row are counted where it is read. Written."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            codes = lists.flatten().dictionary_encode()
+            row = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            known = codes.is_valid().to_numpy(zero_copy_only=False)
+            code, terms = codes.indices.filter(pa.array(known)).to_numpy(zero_copy_only=False).astype(np.int64), len(codes.dictionary)
+            if len(code):
+                key, n = np.unique(row[known] * terms + code, return_counts=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(key // terms)), codes.dictionary.take(pa.array(key % terms)),
+                                                  pa.array(n, pa.int64())], names=[identity, "term", "n"])
+
+    schema = StructType([docs.schema[identity], StructField("term", StringType()), StructField("n", LongType(), False)])
+    return staged(docs.select(identity, words).mapInArrow(counted, schema), "counts")
+
+
 def learn(counts: DataFrame, documents: int, size: int | None = None, min_documents: int = 1) -> Dictionary:
     """All terms, or the ``size`` most frequent, that occur in so many documents; equal counts by the term itself."""
     totals = counts.groupBy("term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_documents)

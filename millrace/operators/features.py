@@ -68,7 +68,7 @@ def text_corpus(docs: DataFrame, identity: str, text: str, vocabulary: int | Non
         RegexTokenizer(inputCol=text, outputCol="raw_tokens", pattern=r"\W"),
         StopWordsRemover(inputCol="raw_tokens", outputCol="tokens", stopWords=list(stop_words))]).fit(rows).transform(
             rows.withColumn(text, F.coalesce(text, F.lit(""))))
-    counts = dictionary.term_counts(tokens, "row", "tokens")
+    counts = dictionary.row_term_counts(tokens, "row", "tokens")
     learned = dictionary.learn(counts, rows.count(), vocabulary)
     found = dictionary.numbered(counts, learned)
     return dictionary.sparse_vectors(rows.select(identity, "row"), "row", found, learned), learned
