@@ -2,7 +2,13 @@
 
 from collections import Counter
 
+import pytest
+from pyspark.ml import clustering as cu
+from pyspark.sql import functions as F
+
+from millrace.catalog import learning
 from millrace.operators import dictionary
+from millrace.operators.features import active_entries
 
 
 def test_words_of_a_row_are_counted_without_an_exchange(spark, monkeypatch):
@@ -13,3 +19,15 @@ def test_words_of_a_row_are_counted_without_an_exchange(spark, monkeypatch):
     found = {(r["row"], r["term"]): r["n"] for r in dictionary.row_term_counts(df, "row", "t").collect()}
     assert found == {(i, w): n for i, t in rows for w, n in Counter(w for w in t or [] if w is not None).items()}
     assert "Exchange" not in plans[0] and "Aggregate" not in plans[0]
+
+
+def test_perplexity_comes_from_the_likelihood(spark, small, monkeypatch):
+    corpus, _ = learning._corpus(spark, small)
+    words = corpus.select(F.sum(F.aggregate(active_entries("features"), F.lit(0.0), lambda a, e: a + e["weight"]))).first()[0]
+
+    def again(*_):
+        raise AssertionError("topics are inferred again")
+
+    monkeypatch.setattr(cu.DistributedLDAModel, "logPerplexity", again)
+    rows = learning.clu6_em(spark, small).collect()
+    assert rows and all(r["log_perplexity"] == pytest.approx(-r["log_likelihood"] / words) for r in rows)
