@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm.batches import blocks_of, map_rows, utf8
 from millrace.operators.graph import connected_components
-from millrace.plans.durable import staged
+from millrace.plans.durable import shuffles_dropped, staged
 from millrace.plans.sizing import broadcast_if_small
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle, percent
@@ -246,6 +246,11 @@ def _checked(pairs: DataFrame, light: DataFrame | None, texts: Callable[[DataFra
 def components(docs: DataFrame, width: int = WIDTH, percent: int = SIMILARITY, tables: int = TABLES, rows: int = ROWS,
                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; component_id is the smallest id that links reach."""
+    with shuffles_dropped(docs.sparkSession):
+        return _components(docs, width, percent, tables, rows, id_column, text_column)
+
+
+def _components(docs: DataFrame, width: int, percent: int, tables: int, rows: int, id_column: str, text_column: str) -> DataFrame:
     signed = staged(signatures(docs, width, tables, rows, id_column, text_column), "signatures")
     named = signed.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
     # Nodes are the distinct sets, numbered once they are made; the written copy keeps the numbers.
@@ -277,11 +282,15 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, percent: int = SIMILARITY,
                 text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their component; of rows that repeat such an id, one stays."""
     classes = components(docs, width, percent, id_column=id_column, text_column=text_column)
-    dropped = classes.where(~F.col("kept")).select(F.col("doc_id").alias(id_column)).distinct()
-    repeated = (classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-                .where("_n > 1").select(F.col("doc_id").alias(id_column)))
-    alone = docs.join(dropped, id_column, "left_anti")
+    with shuffles_dropped(docs.sparkSession):
+        classes = staged(classes, "classes")
+        dropped = staged(classes.where(~F.col("kept")).select(F.col("doc_id").alias(id_column)).distinct(), "dropped")
+        repeated = staged(classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+                          .where("_n > 1").select(F.col("doc_id").alias(id_column)), "repeated")
+    # Ids are sent to the texts when they are few, so that texts are not shuffled.
+    alone = docs.join(broadcast_if_small(dropped), id_column, "left_anti")
     if repeated.isEmpty():
         return alone
-    once = alone.join(repeated, id_column, "left_semi").dropDuplicates([id_column])
-    return alone.join(repeated, id_column, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+    several = broadcast_if_small(repeated)
+    once = alone.join(several, id_column, "left_semi").dropDuplicates([id_column])
+    return alone.join(several, id_column, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))

@@ -400,3 +400,20 @@ def test_near_duplicates_fetch_texts_without_shuffling_the_rest(spark, monkeypat
     got = near_dup.components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id for r in got if r.kept is False} == {100 + i for i in range(5)}
     assert len(got) == len(rows) and plans and all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans)
+
+
+def test_near_duplicates_leave_no_shuffles_and_do_not_shuffle_kept_texts(spark, tmp_path):
+    """Steps drop their shuffle files as they end; rows that stay are found without an exchange of the texts."""
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    rows = [(i, " ".join(draw.choices(words, k=60))) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more") for i in range(5)] + [(None, rows[0][1]), (200, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = set(manager.getAllFiles().mkString("\n").split())
+    left = near_dup.deduplicate(docs)
+    files = set(manager.getAllFiles().mkString("\n").split()) - before
+    assert not [f for f in files if f.endswith(".data")]
+    assert "Exchange hashpartitioning" not in left._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id for r in left.collect()} == {r[0] for r in rows} - {100 + i for i in range(5)}
