@@ -219,13 +219,19 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     ranked = und.join(d1, "src").join(d2, "dst")
     low, high = F.struct(F.col("_ds").alias("d"), F.col("src").alias("v")), F.struct(F.col("_dd").alias("d"), F.col("dst").alias("v"))
     up = staged(ranked.select(F.least(low, high).alias("a"), F.greatest(low, high).alias("b")), "oriented")
-    left = up.select(F.col("a.v").alias("a"), F.col("b").alias("b"))
-    right = up.select(F.col("a.v").alias("a"), F.col("b").alias("c"))
-    wedge = left.join(right, "a").where(F.col("b") < F.col("c")).select(
-        "a", F.col("b.v").alias("b"), F.col("c.v").alias("c"))
-    closing = up.select(F.col("a.v").alias("b"), F.col("b.v").alias("c"))
-    corners = wedge.join(closing, ["b", "c"]).select(F.explode(F.array("a", "b", "c")).alias("id"))
-    return corners.groupBy("id").agg(F.count(F.lit(1)).alias("triangles"))
+    # The neighbours above a vertex by rank, one row a vertex. An edge takes those above both of its ends along, so a row
+    # moves per edge and not per wedge.
+    above = up.groupBy(F.col("a.v").alias("a")).agg(F.sort_array(F.collect_list("b")).alias("_n"))
+    above = staged(above.select("a", F.col("_n.v").alias("_n")), "above")
+    wedges = (above.select("a", F.posexplode("_n").alias("_i", "b"), "_n").where(F.col("_i") < F.size("_n") - 1)
+              .select("a", "b", F.slice("_n", F.col("_i") + 2, F.size("_n")).alias("_later")))
+    closing = above.select(F.col("a").alias("b"), F.col("_n").alias("_own"))
+    closed = wedges.join(closing, "b").select("a", "b", F.array_intersect("_later", "_own").alias("_c")).where(F.size("_c") > 0)
+    found = F.size("_c").cast("bigint")
+    corner = lambda v, n: F.struct(v.alias("id"), n.alias("_t"))
+    corners = F.concat(F.array(corner(F.col("a"), found), corner(F.col("b"), found)),
+                       F.transform("_c", lambda c: corner(c, F.lit(1).cast("bigint"))))
+    return closed.select(F.inline(corners)).groupBy("id").agg(F.sum("_t").alias("triangles"))
 
 
 def _grid_part(partitions: int) -> Column:

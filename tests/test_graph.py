@@ -117,3 +117,13 @@ def test_placed_edges_are_counted_outside_their_parts(spark):
         text = report._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(src#" in text and ", 9), REPARTITION" not in text and "FileScan parquet" in text
         assert report.collect() == [(strategy, edges.count(), True)]
+
+
+def test_triangles_move_a_row_per_edge_and_not_per_wedge(spark):
+    """Neighbours above both ends of an edge are met as arrays; loops, repeats, both directions and nulls do not count."""
+    size = 12
+    rows = [(i, j) for i in range(size) for j in range(size)] + [(0, 1), (None, 3), (3, None), (50, 0), (50, 1), (60, 0)]
+    found = graph.triangle_counts(spark.createDataFrame(rows, "src bigint, dst bigint"))
+    assert "array_intersect" in found._jdf.queryExecution().optimizedPlan().toString()
+    each = (size - 1) * (size - 2) // 2
+    assert {r["id"]: r["triangles"] for r in found.collect()} == {i: each + (i < 2) for i in range(size)} | {50: 1}
