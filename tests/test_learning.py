@@ -209,3 +209,18 @@ def test_baskets_are_made_once_for_a_fit(spark):
     found = patterns.frequent_itemsets(baskets, "items", 0.1).collect()
     assert sorted((tuple(r["items"]), r["freq"]) for r in found) == [(("a",), 100), (("a", "b"), 50), (("b",), 50)]
     assert made.value == 100
+
+
+def test_nearest_rows_of_a_block_are_told_at_once(monkeypatch):
+    """Exact distances and ties to the smaller id, for all queries together and few pairs at a time."""
+    monkeypatch.setattr(neighbours, "PAIRS", 50)
+    draw = np.random.default_rng(5)
+    for width, spread in ((2, 2), (8, 100)):
+        rows, queries = draw.integers(0, spread, (90, width)).astype(float), draw.integers(0, spread, (300, width)).astype(float)
+        ids = draw.permutation(90)
+        q, r, dist = neighbours._best(queries, rows, ids, 4)
+        away = np.sqrt(((queries[:, None] - rows[None]) ** 2).sum(axis=2))
+        wanted = [(i, ids[j], away[i, j]) for i in range(300) for j in np.lexsort((ids, away[i]))[:4]]
+        assert [(a, ids[b], c) for a, b, c in zip(q, r, dist)] == wanted
+    q, r, _ = neighbours._best(queries, rows[:3], ids[:3], 4)
+    assert len(q) == len(r) == 900
