@@ -8,10 +8,11 @@ the full sets of shingles. With 16 tables of 3 rows a pair of similarity 0.8 mee
 Work is kept proportional to the rows, not to the pairs of a group:
 
 * Equal sets are one node. Small hashes that no other node shares are dropped before keys are formed.
-* In the first pass every node of a key is compared with the key's smallest node only, which ties most of a
+* In the first pass the sketch of every node is compared with those of its keys' smallest nodes only, and the full
+  set with the most alike of these, so a node has one pair however many hubs its group has. That ties most of a
   group together. Then only nodes of a key that lie in different components are left. The nodes of the key's
   largest component are not compared with each other, and a pair is formed once, at the first small hash that it
-  shares. A sketch of 1024 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
+  shares. Again the most alike pair of a node comes first, and the others only if their ends still lie apart. A sketch of 1024 bins, each with four bits of the smallest hash that fell into it, drops pairs that are
   below the limit by six standard deviations.
 * Texts travel to the comparison only for pairs that remain: their nodes are sent to the texts when they are few
   (``broadcast_if_small``), otherwise both are shuffled. Joins on a key keep one side splittable.
@@ -127,17 +128,23 @@ def signatures(docs: DataFrame, width: int, tables: int = TABLES, rows: int = RO
                     signed, spread=True)
 
 
+def bins_of(a: str, b: str) -> tuple[Column, Column]:
+    """Bins in which the sketches of two nodes differ, and bins that either uses."""
+    words = BINS // 64
+    one, two = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
+    differing = reduce(Column.__add__, [F.bit_count(reduce(Column.bitwiseOR, [
+        one[p * words + i].bitwiseXOR(two[p * words + i]) for p in range(PLANES)])) for i in range(words)])
+    return differing, reduce(Column.__add__, [F.bit_count(one[i].bitwiseOR(two[i])) for i in range(words)])
+
+
 def plausible(a: str, b: str, percent: int) -> Column:
     """Neither the sizes nor the sketches of two nodes rule out the similarity.
 
     The used bins of either node are a sample without replacement of the union of the two sets; of a pair at the
     limit the share (100 - percent) of them differs, give or take the sample's deviation.
     """
-    words, limit = BINS // 64, percent / 100
-    one, two = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
-    differing = reduce(Column.__add__, [F.bit_count(reduce(Column.bitwiseOR, [
-        one[p * words + i].bitwiseXOR(two[p * words + i]) for p in range(PLANES)])) for i in range(words)])
-    used = reduce(Column.__add__, [F.bit_count(one[i].bitwiseOR(two[i])) for i in range(words)])
+    limit = percent / 100
+    differing, used = bins_of(a, b)
     na, nb = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     unseen = F.greatest(F.lit(0.0), 1 - used * (1 + limit) / (na + nb))
     margin = 1 + DEVIATIONS * F.sqrt(limit * (1 - limit) * used * unseen)
@@ -206,7 +213,7 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
 
     light = nodes.select("node", "n_shingles", "sketch")
     stars = members.where("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
-    tied = _checked(stars, light, texts, width, percent)
+    tied = _checked(_most_alike(_plausible_pairs(stars, light, percent)), texts, width, percent)
     if tied.isEmpty():
         label = nodes.select(F.col("node").alias("id"), F.col("node").alias("component")).limit(0)
     else:
@@ -228,18 +235,47 @@ def links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, tables: i
     shared_half = lambda c: F.coalesce(*[F.when(F.col(f"a.{c}")[i] == F.col(f"b.{c}")[i], F.col(f"a.{c}")[i]) for i in range(tables)])
     once = F.col("a.key") == F.xxhash64(shared_half("u"), shared_half("v"))
     close = once & plausible("a", "b", percent)
-    pair = [F.col("a.node").alias("src"), F.col("b.node").alias("dst")]
+    pair = [F.col("a.node").alias("src"), F.col("b.node").alias("dst"), _apart()]
     to_largest = outside.join(rich.where("component = largest").alias("b"), apart & close).select(*pair)
     among = outside.join(rich.where("component <> largest").alias("b"),
                          apart & (F.col("a.component") < F.col("b.component")) & close).select(*pair)
-    return tied.unionByName(_checked(to_largest.unionByName(among).distinct(), None, texts, width, percent))
+    pairs = staged(to_largest.unionByName(among).distinct(), "pairs")
+    if pairs.isEmpty():
+        return tied
+    likely = staged(_most_alike(pairs), "likely")
+    tied = tied.unionByName(_checked(likely, texts, width, percent))
+    if tied.isEmpty():
+        others = pairs.join(likely, ["src", "dst"], "left_anti").select("src", "dst")
+    else:
+        others = _lying_apart(pairs.join(likely, ["src", "dst"], "left_anti"), connected_components(tied))
+    return tied.unionByName(_checked(others, texts, width, percent))
+
+
+def _apart() -> Column:
+    """The share of the used bins in which the sketches of a and b differ."""
+    differing, used = bins_of("a", "b")
+    return (differing / used).alias("_apart")
+
+
+def _plausible_pairs(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    a, b = light.alias("a"), light.alias("b")
+    return (pairs.join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))
+            .where(plausible("a", "b", percent)).select("src", "dst", _apart()))
+
+
+def _most_alike(pairs: DataFrame) -> DataFrame:
+    """Of the pairs of every ``src`` the one whose sketches are the most alike."""
+    return pairs.groupBy("src").agg(F.min_by("dst", F.struct("_apart", "dst")).alias("dst"))
+
+
+def _lying_apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in different components; a node without a label is one of its own."""
+    of = lambda end: label.select(F.col("id").alias(end), F.col("component").alias(f"_{end}"))
+    both = pairs.join(of("src"), "src", "left").join(of("dst"), "dst", "left")
+    return both.where(F.coalesce("_src", "src") != F.coalesce("_dst", "dst")).select("src", "dst")
 
 
-def _checked(pairs: DataFrame, light: DataFrame | None, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> DataFrame:
-    if light is not None:
-        a, b = light.alias("a"), light.alias("b")
-        pairs = (pairs.join(a, F.col("src") == F.col("a.node")).join(b, F.col("dst") == F.col("b.node"))
-                 .where(plausible("a", "b", percent)).select("src", "dst"))
+def _checked(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> DataFrame:
     return staged(similar(texts, staged(pairs, "pairs"), width, percent), "links")
 
 

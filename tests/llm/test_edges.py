@@ -417,3 +417,19 @@ def test_near_duplicates_leave_no_shuffles_and_do_not_shuffle_kept_texts(spark,
     assert not [f for f in files if f.endswith(".data")]
     assert "Exchange hashpartitioning" not in left._jdf.queryExecution().executedPlan().toString()
     assert {r.doc_id for r in left.collect()} == {r[0] for r in rows} - {100 + i for i in range(5)}
+
+
+def test_a_node_has_one_pair_a_pass_however_many_hubs_its_group_has(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(300), rng.randrange(1, 8)):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i + 1, " ".join(words)))
+    passes, similar = [], near_dup.similar
+    monkeypatch.setattr(near_dup, "similar", lambda texts, pairs, *a: passes.append(pairs.collect()) or similar(texts, pairs, *a))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.components(spark.createDataFrame(rows, "doc_id bigint, text string"), width=4).collect()}
+    assert got == brute.near_duplicates(rows, 4, 80)
+    assert len({r["src"] for r in passes[0]}) == len(passes[0]) < len(rows)
