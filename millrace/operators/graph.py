@@ -225,7 +225,8 @@ def triangle_counts(edges: DataFrame) -> DataFrame:
     above = staged(above.select("a", F.col("_n.v").alias("_n")), "above")
     wedges = (above.select("a", F.posexplode("_n").alias("_i", "b"), "_n").where(F.col("_i") < F.size("_n") - 1)
               .select("a", "b", F.slice("_n", F.col("_i") + 2, F.size("_n")).alias("_later")))
-    closing = above.select(F.col("a").alias("b"), F.col("_n").alias("_own"))
+    # Written lists are far smaller than in memory, so neither side may be broadcast for the size of its files.
+    closing = above.select(F.col("a").alias("b"), F.col("_n").alias("_own")).hint("merge")
     closed = wedges.join(closing, "b").select("a", "b", F.array_intersect("_later", "_own").alias("_c")).where(F.size("_c") > 0)
     found = F.size("_c").cast("bigint")
     corner = lambda v, n: F.struct(v.alias("id"), n.alias("_t"))

@@ -127,3 +127,10 @@ def test_triangles_move_a_row_per_edge_and_not_per_wedge(spark):
     assert "array_intersect" in found._jdf.queryExecution().optimizedPlan().toString()
     each = (size - 1) * (size - 2) // 2
     assert {r["id"]: r["triangles"] for r in found.collect()} == {i: each + (i < 2) for i in range(size)} | {50: 1}
+
+
+def test_lists_of_neighbours_are_not_broadcast(spark, edges):
+    """Their files are far smaller than the lists in memory, which the driver would have to build."""
+    found = graph.triangle_counts(frame(spark, edges))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
