@@ -224,3 +224,13 @@ def test_nearest_rows_of_a_block_are_told_at_once(monkeypatch):
         assert [(a, ids[b], c) for a, b, c in zip(q, r, dist)] == wanted
     q, r, _ = neighbours._best(queries, rows[:3], ids[:3], 4)
     assert len(q) == len(r) == 900
+
+
+def test_neighbours_are_searched_without_shuffle_files_left(spark, monkeypatch):
+    key, seen, write = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], neighbours.staged
+    for module in (neighbours, neighbours.pivot_tree):
+        monkeypatch.setattr(module, "staged", lambda df, label: seen.append(df.sparkSession.conf.get(key)) or write(df, label))
+    rows = spark.createDataFrame([(i, [float(i), 0.0], 1.0) for i in range(8)], "id bigint, v array<double>, label double")
+    found = neighbours.nearest(rows.where("id < 6"), rows.where("id >= 6"), "id", "v", "label", 2)
+    assert set(seen) == {"true"} and spark.conf.get(key) == "false"
+    assert sorted((r.q, r.t) for r in found.collect()) == [(6, 4), (6, 5), (7, 4), (7, 5)]
